@@ -22,11 +22,12 @@ BLOCK = 60  # keys a segment may hold; longer lists are split by the rest of the
 
 
 def keys(records: DataFrame, common: list[str]) -> DataFrame:
-    """``id``, ``form``, ``key``: the texts under which a record is stored and looked up.
+    """``id``, ``form``, ``key``, ``short``: the texts under which a record is stored and looked up.
 
     The whole name in the order of its words, the name with its first word cut to a
     letter (people shorten given names), and the name without common words.  Sites are
-    compared exactly.  A name shared by very many rows is one key.
+    compared exactly.  ``short``: the name has such a letter itself.  A name shared by very many
+    rows is one key.
     """
     words = F.array_sort("words")
     joined = lambda a: F.array_join(a, "")
@@ -37,7 +38,8 @@ def keys(records: DataFrame, common: list[str]) -> DataFrame:
         F.struct(F.lit("rare").alias("form"), F.when(F.size(rare) > 1, joined(rare)).alias("key")),
         F.struct(F.lit("initial").alias("form"), F.when(F.size(rare) > 1, joined(F.array_sort(F.transform("words", lambda w, i: F.when(i == 0, F.left(w, F.lit(1))).otherwise(w))))).alias("key")),
     )
-    return records.select("id", F.explode(forms).alias("x")).select("id", "x.form", "x.key").where(F.length("key") >= 6)
+    short = F.exists("words", lambda w: F.length(w) == 1)
+    return records.select("id", short.alias("short"), F.explode(forms).alias("x")).select("id", "x.form", "x.key", "short").where(F.length("key") >= 6)
 
 
 def _ids(keyed: DataFrame) -> DataFrame:
@@ -138,9 +140,10 @@ def links(new: DataFrame, old: DataFrame, common: list[str]) -> DataFrame:
     facts = ["site", "phone", "phone7", "number", "place"]
     mine = keys(new.where("not legal"), common).join(new.select("id", *facts), "id")
     theirs = keys(old.where("not legal"), common).join(old.select("id", *facts), "id")
+    facts = [*facts, "short"]
     sig_new = cut(mine.groupBy("form", "key", *facts).agg(F.min("id").alias("id")), "probe")
     sig_old = sig_new if new is old else cut(theirs.groupBy("form", "key", *facts).agg(F.min("id").alias("id")), "stored")
-    typed = F.col("form") == "typed"  # words run together: compared exactly
+    typed = F.col("form").isin("typed", "initial")  # words run together or cut: compared exactly
     same_set = new is old
     near = near_keys(sig_new.where(~typed), sig_old.where(~typed), same_set)
     exact = sig_new.where(typed).select("form", F.col("key").alias("new")).distinct().withColumn("old", F.col("new"))
@@ -153,7 +156,8 @@ def links(new: DataFrame, old: DataFrame, common: list[str]) -> DataFrame:
     spot = same("number") & same("place")
     lesser = F.col("form").isin("rare", "initial")  # such keys need a fact beside them
     fact = same("phone7") | spot | (same("place") & ~differ("number"))
-    named = both.where(~differ("site") & (spot | same("phone7") | (~differ("place") & ~differ("number"))) & (~lesser | fact))
+    cut_short = (F.col("form") != "initial") | F.col("short_a") | F.col("short_b")
+    named = both.where(cut_short).where(~differ("site") & (spot | same("phone7") | (~differ("place") & ~differ("number"))) & (~lesser | fact))
     blank = (F.col("place_a") == "") | (F.col("place_b") == "")
     judged = named.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), (blank & ~same("phone7")).alias("weak"))
     judged = judged.groupBy("a", "b").agg(F.min("weak").alias("weak"))
