@@ -49,12 +49,13 @@ def route(patterns: list[tuple[tuple[str, ...], int]], quotas: dict[str, int], r
         graph[b].append(y)
         return x
 
-    held: dict[tuple[int, str], list[list]] = {}
+    held: dict[tuple[int, str], list] = {}
     for p, (sources, tokens) in enumerate(patterns):
-        arc(start, p, sum(tokens * max(0, repeats[s]) for s in sources if s in node), 0)
-        for s in sources:
-            if s in node:
-                held[p, s] = [arc(p, node[s], tokens, k) for k in range(max(0, repeats[s]))]
+        mine = [s for s in sources if s in node]
+        for k in range(sum(max(0, repeats[s]) for s in mine)):  # the k-th use of a document, for whichever source
+            arc(start, p, tokens, k)
+        for s in mine:
+            held[p, s] = arc(p, node[s], tokens * max(0, repeats[s]), 0)
     ends = {s: arc(node[s], sink, quotas[s], 0) for s in names}
     potential = [0] * n
     while True:
@@ -80,7 +81,7 @@ def route(patterns: list[tuple[tuple[str, ...], int]], quotas: dict[str, int], r
         for e in path:
             e[1] -= push
             e[3][1] += push
-    return Flow({k: sum(e[3][1] for e in layers) for k, layers in held.items()}, {s: e[1] for s, e in ends.items()})
+    return Flow({k: e[3][1] for k, e in held.items()}, {s: e[1] for s, e in ends.items()})
 
 
 def mix_sources(

@@ -30,7 +30,7 @@ LABELS = 100_000  # labelled rows used at most, by the order of a hash
 FREE = 4  # components that belong to no subject
 UPDATES = 12
 SEVERAL = 2.0  # sentences that make a subject
-WIDE = 0.15  # terms on a larger share of a language's documents say nothing of a subject
+WIDE = 0.2  # terms on a larger share of a language's documents say nothing of a subject
 # Frequent short words of a language; texts with none of them are read as "other".
 LANGUAGES = {
     "en": "the and of is are to with was for on that this".split(),
