@@ -27,7 +27,7 @@ from .names import fold
 
 TERMS = 20_000  # terms in the matrix at most, the most frequent ones
 LABELS = 100_000  # labelled rows used at most, by the order of a hash
-FREE = 4  # components that belong to no subject
+FREE = 1  # components that belong to no subject; it starts as the corpus' average and takes up what all subjects share
 UPDATES = 12
 SEVERAL = 2.0  # sentences that make a subject
 WIDE = 0.2  # terms on a larger share of a language's documents say nothing of a subject
@@ -269,6 +269,11 @@ def fit(rows: DataFrame, vocab: list[str], subjects: list[str], about: list[str]
         np.add.at(tot, total["c"].to_numpy(), total["tot"].to_numpy())
         return num, tot
 
+    counted = rows.select(F.explode(F.arrays_zip("t", "n")).alias("x")).groupBy("x.t").agg(F.sum("x.n").alias("n")).collect()  # TERMS rows at most
+    average = np.zeros(v)
+    for r in counted:
+        average[r.t] = r.n
+    average /= max(average.mean(), 1e-9)
     # the labelled rows alone seed the anchored components
     labelled = rows.where("size(y) > 0").orderBy(F.xxhash64("k")).limit(LABELS)
     for _ in range(2):
@@ -278,6 +283,8 @@ def fit(rows: DataFrame, vocab: list[str], subjects: list[str], about: list[str]
         seeded = factor * num / (tot[:, None] + 1e-9)
         factor = 0.02 * factor + np.where(tot[:, None] > 0, seeded, factor)
     factor += 1e-4
+    # the free part starts as the average of all rows: a random start could grow into a subject of its own
+    factor[k:] = average[None, :] + 1e-4
     factor /= factor.sum(axis=1, keepdims=True)
     for _ in range(updates):
         num, tot = sums(rows, factor)
