@@ -28,7 +28,7 @@ from .names import fold
 TERMS = 20_000  # terms in the matrix at most, the most frequent ones
 LABELS = 100_000  # labelled rows used at most, by the order of a hash
 FREE = 1  # components that belong to no subject; it starts as the corpus' average and takes up what all subjects share
-UPDATES = 12
+UPDATES = 8
 SEVERAL = 2.0  # sentences that make a subject
 WIDE = 0.2  # terms on a larger share of a language's documents say nothing of a subject
 # Frequent short words of a language; texts with none of them are read as "other".
