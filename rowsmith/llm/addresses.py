@@ -70,7 +70,7 @@ class Parse:
     prior: float
 
 
-@lru_cache(maxsize=50_000)
+@lru_cache(maxsize=10_000)
 def find_town(text: str) -> str:
     """The place meant by a text, typos allowed; "" if none."""
     key = re.sub(r"[\W_]", "", text)
@@ -112,7 +112,7 @@ def _read_tail(tokens: list[str]) -> tuple[str, str, bool]:
     return "", state, False
 
 
-@lru_cache(maxsize=20_000)
+@lru_cache(maxsize=5_000)
 def parse_address(raw: str | None, city: str | None = None, state: str | None = None, beam: int = 4) -> tuple[Parse, ...]:
     """The ``beam`` best parses, best first; none for blank texts.
 

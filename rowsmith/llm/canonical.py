@@ -198,7 +198,7 @@ class Matcher:
     def __init__(self, entries: list[tuple[int, str, str]], names: dict[str, str]):
         self.whole = BKTree(surface_forms(entries, names))
         self.words = BKTree(word_forms(entries, names))
-        self.find = lru_cache(maxsize=200_000)(self._find)
+        self.find = lru_cache(maxsize=50_000)(self._find)
 
     def _find(self, value: str) -> tuple[int, int, int, int] | None:
         """(stage, distance, rank, id) of the best entry, or None; smaller is better, also across shards."""

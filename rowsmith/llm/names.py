@@ -68,7 +68,7 @@ def _tokens(text: str) -> tuple[str, ...]:
     return tuple(_FULL.get(w, w) for w in words)
 
 
-@lru_cache(maxsize=20_000)
+@lru_cache(maxsize=5_000)
 def read_name(raw: str | None) -> Name:
     """Reads a name as typed; the place it ends with is set apart, places among its first words are not."""
     from .addresses import find_town
@@ -115,7 +115,7 @@ def ratio(a: str, b: str) -> float:
     return 2 * lcs(a, b) / (len(a) + len(b)) if a or b else 0.0
 
 
-@lru_cache(maxsize=200_000)
+@lru_cache(maxsize=50_000)
 def word_match(a: str, b: str) -> float:
     """How well two words agree: typos by LCS ratio, first letters and abbreviations by rule."""
     if a == b:

@@ -24,7 +24,7 @@ _PAGE = re.compile(r"/(?:index\.\w+|home|contact|about|about-us|es|en|fr)$")
 COMMON_SHARE = 0.001  # words on at least this share of names are known to every executor: at most 1 / share x words per name
 
 
-@lru_cache(maxsize=20_000)
+@lru_cache(maxsize=5_000)
 def read_phone(raw: str | None) -> tuple[str, str]:
     """(ten digits, last seven digits); "" where they aren't given."""
     text = _EXTENSION.sub("", raw or "")
@@ -36,7 +36,7 @@ def read_phone(raw: str | None) -> tuple[str, str]:
     return "", digits if len(digits) == 7 else ""
 
 
-@lru_cache(maxsize=20_000)
+@lru_cache(maxsize=5_000)
 def read_site(raw: str | None) -> str:
     """Host and path in lower case, without scheme, ``www.``, query, anchor and the path of a home page; "" for placeholders."""
     text = re.sub(r"^[a-z]+://", "", (raw or "").strip().lower())
