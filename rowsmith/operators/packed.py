@@ -48,7 +48,7 @@ class Segmenter:
         self.size = len(self.automaton)
         if self.size:
             self.automaton.make_automaton()
-        self.split = lru_cache(maxsize=200_000)(self._split)
+        self.split = lru_cache(maxsize=50_000)(self._split)
 
     def _known(self, text: str) -> dict[int, list[int]]:
         """Ends of the known values by their start; both ends stand at a blank, a mark or the rim."""

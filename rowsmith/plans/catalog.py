@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import geo
 from ..functions import text as T
 from ..functions.html import fold_accents, page_text
-from ..operators import curate, merge, publish
+from ..operators import curate, discovery, merge, publish
 from ..operators.packed import CERTIFICATIONS, several_values, split_fields
 from ..operators.search import COLUMNS, Search, facet_counts, matches, search, suggest
 from ..streaming import incremental
@@ -538,3 +538,42 @@ def lineitem_summary(spark, sf_dir):
 @query("select event_type, date_trunc('hour', ts) as hour, count(*) as n from events group by all")
 def event_windows(spark, sf_dir):
     return read(spark, sf_dir, "events").groupBy("event_type", F.date_trunc("hour", "ts").alias("hour")).agg(F.count("*").alias("n"))
+
+
+# --- evidence ----------------------------------------------------------------------------------
+
+SOCIAL = ["facebook.com", "instagram.com"]
+
+
+@query(
+    f"with p as (select website, max(case when id % 5 = 0 then 404 else 200 end) as c from businesses where website is not null group by website) "
+    "select b.id, case when b.website is null then 'No Website' when trim(b.website) = '' then b.status when coalesce(p.c < 400, false) then 'Active' else 'Inactive' end as status from businesses b left join p using (website)"
+)
+def link_check(spark, sf_dir):
+    b = read(spark, sf_dir, "businesses")
+    probes = b.where("website is not null").select("website", F.when(F.col("id") % 5 == 0, 404).otherwise(200).alias("http_code"))
+    return discovery.link_state(b, probes, SOCIAL)
+
+
+@query(
+    "with w as (select id, services_products as old, case when lower(coalesce(industry, '')) like '%food%' then 'Meals and groceries' when lower(coalesce(industry, '')) like '%legal%' then 'Legal help' else 'SKIP' end as new from businesses where length(trim(coalesce(services_products, ''))) < 25) "
+    "select * from w where new <> 'SKIP' and old is distinct from new"
+)
+def enrich_services(spark, sf_dir):
+    rules = discovery.Rules([("Meals and groceries", ["food"]), ("Legal help", ["legal"])], "SKIP")
+    return discovery.enrichment(read(spark, sf_dir, "businesses"), "services_products", discovery.services_need_work(), rules, T.text("industry"))
+
+
+@query(
+    f"with l as (select id, website as link, id as position from businesses) select id, arg_min(link, position) as link from l where lower(coalesce(link, '')) like 'http%' and {D.host('link')} <> '' and len(list_filter({D.listed(HOSTS)}, lambda d: {D.host('link')} = d or ends_with({D.host('link')}, '.' || d))) = 0 group by id"
+)
+def first_links(spark, sf_dir):
+    links = read(spark, sf_dir, "businesses").select("id", F.col("website").alias("link"), F.col("id").alias("position"))
+    return discovery.first_acceptable(links, HOSTS)
+
+
+@query(f"select row_id, case when batch_no % 4 = 0 then 'A' when {D.site('website')} <> '' and row_id % 3 > 0 then 'B' else 'C' end as tier from businesses_prepared")
+def discovery_tiers(spark, sf_dir):
+    labels = F.when(F.col("batch_no") % 4 == 0, F.array(F.lit("x"))).otherwise(F.array().cast("array<string>"))
+    found = read(spark, sf_dir, "businesses_prepared").select("row_id", "website", labels.alias("labels"), (F.col("row_id") % 3).alias("n_signals"))
+    return discovery.tiers(found, SOCIAL)
