@@ -87,7 +87,7 @@ def read_records(df: DataFrame, key: str, **fields: str | None) -> DataFrame:
     return src.mapInPandas(run, f"id {kind}, {_SCHEMA}")
 
 
-def own_sites(records: DataFrame, share: float = 0.005, least: int = 20) -> DataFrame:
+def own_sites(records: DataFrame, share: float = 0.005, least: int = 10) -> DataFrame:
     """Blanks the sites of pages that list many businesses: a site under very many different names is nobody's own.
 
     A page counts as shared if at least ``least`` rows and ``share`` of all rows hold it;
@@ -96,7 +96,7 @@ def own_sites(records: DataFrame, share: float = 0.005, least: int = 20) -> Data
     total = records.count()
     limit = max(least, int(total * share))
     hubs = records.where("site <> ''").groupBy("site").agg(F.count("*").alias("n"), F.approx_count_distinct("core").alias("names"))
-    hubs = hubs.where((F.col("n") >= limit) & (F.col("names") >= 10)).select("site", F.lit(True).alias("hub"))
+    hubs = hubs.where((F.col("n") >= limit) & (F.col("names") >= 8)).select("site", F.lit(True).alias("hub"))
     return records.join(F.broadcast(hubs), "site", "left").withColumn("site", F.when(F.col("hub"), F.lit("")).otherwise(F.col("site"))).drop("hub")
 
 
