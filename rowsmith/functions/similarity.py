@@ -40,21 +40,41 @@ def trigrams(x: Column) -> Column:
     return F.flatten(F.transform(pads, lambda p: F.transform(F.sequence(F.lit(1), F.length(p) - 2), lambda i: F.substring(p, i, F.lit(3)))))
 
 
-def word_similarity(term: str | Column, x: Column) -> Column:
+def _let(value: Column, f) -> Column:
+    """``f`` of a value that is computed once: inside nested lambdas an expression would be computed again for each element."""
+    return F.element_at(F.transform(F.array(value), f), 1)
+
+
+def _term_trigrams(term: str) -> Column:
+    words = re.findall(r"[^\W_]+", term.lower())
+    grams = dict.fromkeys(p[i : i + 3] for p in (f"  {w} " for w in words) for i in range(len(p) - 2))
+    return F.array(*map(F.lit, grams)) if grams else F.array().cast("array<string>")
+
+
+def word_similarity(term: str, x: Column, floor: float = 0.0) -> Column:
     """Greatest similarity of the term's trigrams with those of any extent of ``x``; 0 without common ones, null for null.
 
-    Extents need only begin and end at common trigrams, so the work is the square of the common ones.
+    Extents need only begin and end at common trigrams, so the work is the square of the common
+    ones.  No extent can be more similar than the share of the term's trigrams that ``x`` has at
+    all: where that is not above ``floor`` the answer is 0 at once.
     """
-    q = F.array_distinct(trigrams(F.lit(term) if isinstance(term, str) else term))
-    t = trigrams(x)
-    at = F.filter(F.transform(t, lambda g, i: F.when(F.array_contains(q, g), i + 1)), lambda i: i.isNotNull())
+    q = _term_trigrams(term)
+
+    def score(t: Column) -> Column:
+        def extents(at: Column) -> Column:
+            def best(i: Column) -> Column:
+                def over(j: Column) -> Column:
+                    def of(part: Column) -> Column:
+                        return _let(F.size(F.array_intersect(part, q)), lambda both: both / (F.size(part) + F.size(q) - both))
+
+                    return _let(F.array_distinct(F.slice(t, i, j - i + 1)), of)
+
+                return F.array_max(F.transform(F.filter(at, lambda j: j >= i), over))
 
-    def best(i: Column) -> Column:
-        def over(j: Column) -> Column:
-            part = F.array_distinct(F.slice(t, i, j - i + 1))
-            both = F.size(F.array_intersect(part, q))
-            return both / (F.size(part) + F.size(q) - both)
+            return F.coalesce(F.array_max(F.transform(at, best)), F.lit(0.0))
 
-        return F.array_max(F.transform(F.filter(at, lambda j: j >= i), over))
+        hits = F.filter(F.transform(t, lambda g, i: F.when(F.array_contains(q, g), i + 1)), lambda i: i.isNotNull())
+        bound = F.size(F.array_intersect(t, q)) / F.greatest(F.size(q), F.lit(1))
+        return F.when(bound > floor, _let(hits, extents)).otherwise(F.lit(0.0))
 
-    return F.when(x.isNotNull(), F.coalesce(F.array_max(F.transform(at, best)), F.lit(0.0)).cast("double"))
+    return F.when(x.isNotNull(), _let(trigrams(x), score).cast("double"))

@@ -72,7 +72,7 @@ def matches(df: DataFrame, p: Search) -> DataFrame:
     rows = rows.withColumn("_score", word_similarity(term, F.col("business_name")))
     keep = F.col("_cheap")
     if p.fuzzy:
-        keep = keep | (F.coalesce("_score", F.lit(0.0)) > p.name_floor) | F.when(F.col("_cheap"), True).otherwise(word_similarity(term, services) > p.services_floor)
+        keep = keep | (F.coalesce("_score", F.lit(0.0)) > p.name_floor) | F.when(F.col("_cheap"), True).otherwise(word_similarity(term, services, p.services_floor) > p.services_floor)
     return rows.where(keep).drop("_cheap")
 
 
@@ -86,7 +86,7 @@ def search(df: DataFrame, p: Search) -> DataFrame:
     found = matches(df, p)
     total = found.agg(F.count("*").alias("total_count"))
     page = found.orderBy(F.desc_nulls_first("_hit"), F.desc_nulls_first("_score"), F.asc_nulls_last("business_name"), "id").offset(p.offset).limit(p.limit)
-    return page.crossJoin(F.broadcast(total)).select(*COLUMNS, "total_count")
+    return page.select(*COLUMNS, total.scalar().alias("total_count"))
 
 
 def suggest(df: DataFrame, term: str, limit: int = 5, floor: float = 0.3) -> DataFrame:
