@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut, drop_cut
@@ -17,8 +17,9 @@ def connected_components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
     ``component`` (one row per node that occurs in some edge).
 
     Alternates large-star and small-star contractions.  Each round is two
-    shuffles over the edges that are left; a hub is harmless, since a star step
-    only ever keeps one edge per neighbour and never forms pairs in a group.
+    shuffles over the edges that are left.  A hub is harmless: a star step keeps one
+    edge per neighbour, minima are combined before they move, and the join with
+    them can be split by key, so that no task must hold all neighbours of a node.
     """
     e = (
         edges.select("a", "b")
@@ -29,17 +30,12 @@ def connected_components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
     e = cut(e, "edges")
     for _ in range(max_rounds):
         both = e.select("u", "v").unionAll(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = F.least("u", F.min("v").over(Window.partitionBy("u")))
-        large = both.withColumn("m", low).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        low = both.groupBy("u").agg(F.min("v").alias("m"))
+        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.least("u", "m").alias("v"))
         large = large.where("u <> v").distinct()
-        m = F.min("v").over(Window.partitionBy("u"))
-        small = (
-            large.withColumn("m", m)
-            .select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("x"))
-            .select("x.u", "x.v")
-            .where("u <> v")
-            .distinct()
-        )
+        root = large.groupBy("u").agg(F.min("v").alias("m"))
+        ends = F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))
+        small = large.join(root, "u").select(F.explode(ends).alias("x")).select("x.u", "x.v").where("u <> v").distinct()
         nxt = cut(small, "edges")
         # the contraction has ended when every node hangs on one root and no root hangs on another
         tangled = (
