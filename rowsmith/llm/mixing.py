@@ -5,7 +5,8 @@ to).  A min-cost flow routes the patterns' tokens to the sources' quotas; the
 k-th use of a document costs k - 1, so nothing repeats before everything that
 can fill the quota has been used once.  The flow fixes, for each pattern and
 source, how often every document is used and what part of the pattern is used
-once more; that part is taken in the order of a seeded hash.
+once more; that part is taken in the order of a seeded hash, the sources of a
+pattern one behind the other, so that none repeats what another leaves unused.
 """
 
 from __future__ import annotations
@@ -124,28 +125,51 @@ def mix_sources(
     quotas = {s: math.ceil(share * total - 1e-6) for s, (share, _) in wanted.items()}
     patterns = sorted((p, n) for p, n in size.items() if p)
     flow = route(patterns, quotas, {s: r for s, (_, r) in wanted.items()})
-    plan = []  # pattern, source, full uses, bucket of the cut, tokens to take inside it
+    first = Window.partitionBy("_p", "_b").orderBy("_h", "_k")
+
+    def locate(names: tuple[str, ...], at: int) -> tuple[int, int]:
+        """Bucket, and tokens inside it, of a place in the pattern's order."""
+        for b in range(BUCKETS):
+            here = cell[names].get(b, 0)
+            if at < here:
+                return b, at
+            at -= here
+        return BUCKETS, 0
+
+    def ended(names: tuple[str, ...], at: int) -> int:
+        """The end of the document that holds the token before ``at``."""
+        b, left = locate(names, at)
+        if left == 0:
+            return at
+        pattern = F.array(*map(F.lit, names))
+        ends = docs.where((F.col("_p") == pattern) & (F.col("_b") == b)).select(F.sum("_n").over(first.rowsBetween(Window.unboundedPreceding, 0)).alias("end"))
+        return at + ends.where(F.col("end") >= left).agg(F.min("end")).first()[0] - left
+
+    plan = []  # pattern, source, full uses, the places where its part begins and ends, whether it runs over the end
+    begin: dict[tuple[str, ...], int] = {}
     for (p, s), f in flow.routed.items():
         names, n = patterns[p]
         if f <= 0 or n == 0:
             continue
         full, rest = divmod(f, n)
-        cut, left = -1, 0
-        for b in range(BUCKETS):
-            here = cell[names].get(b, 0)
-            if rest <= 0 or rest < here:
-                cut, left = b, max(rest, 0)
-                break
-            rest -= here
-        plan.append((list(names), s, int(full), cut, int(left)))
-    steps = spark.createDataFrame(plan, "_p array<string>, source string, full int, cut int, rest long")
+        if rest == 0:
+            plan.append((list(names), s, int(full), 0, 0, -1, 0, False))
+            continue
+        start = ended(names, begin[names]) % n if names in begin else 0
+        end = start + rest
+        begin[names] = end - n if end > n else end
+        plan.append((list(names), s, int(full), *locate(names, start), *locate(names, begin[names]), end > n))
+    steps = spark.createDataFrame(plan, "_p array<string>, source string, full int, b0 int, t0 long, b1 int, t1 long, over boolean")
     used = docs.join(F.broadcast(steps), "_p")
     # only the buckets of the cuts are put in order: a 4096th of a pattern each
-    order = Window.partitionBy("_p", "source").orderBy("_h", "_k").rowsBetween(Window.unboundedPreceding, -1)
-    inside = used.where("_b = cut and rest > 0").withColumn("before", F.coalesce(F.sum("_n").over(order), F.lit(0)))
-    inside = inside.withColumn("more", (F.col("before") < F.col("rest")).cast("int")).drop("before")
-    outside = used.where("not (_b = cut and rest > 0)").withColumn("more", (F.col("_b") < F.col("cut")).cast("int"))
-    mix = outside.unionByName(inside).withColumn("repeats", F.col("full") + F.col("more")).where("repeats > 0")
+    order = Window.partitionBy("_p", "source", "_b").orderBy("_h", "_k").rowsBetween(Window.unboundedPreceding, -1)
+    cuts = F.expr("(_b = b0 and t0 > 0) or (_b = b1 and t1 > 0)")
+    inside = used.where(cuts).withColumn("before", F.coalesce(F.sum("_n").over(order), F.lit(0)))
+    behind = F.expr("_b > b0 or (_b = b0 and before >= t0)")
+    ahead = F.expr("_b < b1 or (_b = b1 and before < t1)")
+    placed = used.where(~cuts).withColumn("before", F.lit(0).cast("long")).unionByName(inside)
+    more = F.when(F.col("over"), behind | ahead).otherwise(behind & ahead).cast("int")
+    mix = placed.withColumn("more", more).withColumn("repeats", F.col("full") + F.col("more")).where("repeats > 0")
     sums = mix.groupBy("source").agg(F.sum(F.col("_n") * F.col("repeats")).alias("mixed_tokens"))
     own = {s: sum(n for p, n in patterns if s in p) for s in wanted}
     rows = [(s, float(share), quotas[s], own[s], flow.lacking[s]) for s, (share, _) in sorted(wanted.items())]

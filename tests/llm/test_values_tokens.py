@@ -104,3 +104,21 @@ def test_mix(spark):
     none, empty = mixing.mix_sources(sized.where("false"), targets)
     assert none.count() == 0 and {r.mixed_tokens for r in empty.collect()} == {0}
     assert mixing.mix_sources(sized, targets.where("false"))[1].count() == 0
+
+
+def test_sources_of_one_pattern_share_its_documents(spark):
+    sized = spark.range(1000).selectExpr("id doc_id", "array('a', 'b', 'c') sources", "id % 3 + 1 tokens")
+    total = sized.agg({"tokens": "sum"}).first()[0]
+
+    def uses(*shares):
+        targets = spark.createDataFrame([(s, x, 3) for s, x in zip("abc", shares)], "source string, target_share double, max_repeats int")
+        mix, report = mixing.mix_sources(sized, targets)
+        assert all(r.target_tokens <= r.mixed_tokens < r.target_tokens + 4 for r in report.where("target_tokens > 0").collect())
+        return [r.n for r in mix.groupBy("doc_id").agg({"repeats": "sum"}).toDF("doc_id", "n").collect()]
+
+    for shares in ((0.5, 0.5, 0.0), (0.3, 0.3, 0.4)):
+        got = uses(*shares)
+        assert len(got) == 1000 and sum(got) <= 1004
+    got = uses(0.7, 0.7, 0.6)  # two uses of every document, a few of three where parts end
+    assert len(got) == 1000 and min(got) >= 2 and sum(got) <= 2004
+    assert total > 1900
