@@ -107,9 +107,10 @@ def p6_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rec = records.prepare([(_read(spark, sf_dir, "businesses_prepared"), "row_id", _BUSINESS)])
+    """Batch by batch through the stored index; what words and shared pages are common is counted over the whole table."""
+    rec = records.prepare([(_read(spark, sf_dir, "businesses_prepared"), "row_id", _BUSINESS)], {"batch": "batch_no"})
     common = [w for w, x in records.word_weights(rec).items() if x < 0.5]
-    return segments.repeats(segments.first_rows(rec, common))
+    return segments.repeats(segments.load_batches(rec, common).firsts())
 
 
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:

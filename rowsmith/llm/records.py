@@ -55,15 +55,17 @@ def address_fullness(parse, raw: str | None) -> int:
     return 1 + bool(parse.town) + bool(parse.zip)
 
 
-def read_records(df: DataFrame, key: str, **fields: str | None) -> DataFrame:
+def read_records(df: DataFrame, key: str, keep: dict[str, str] | None = None, **fields: str | None) -> DataFrame:
     """``key`` and the comparable parts of each row.
 
     ``fields`` names the columns for name, phone, website, address, city, state and
     note (a text that may end in "in TOWN."); missing ones are left out.  Nulls,
-    blanks and placeholder words give empty parts.  Other columns are left out.
+    blanks and placeholder words give empty parts.  Other columns are left out, but for
+    those of ``keep`` (by their names in the result).
     """
     none = F.lit(None).cast("string")
-    src = df.select(F.col(key).alias("id"), *((F.col(fields[f]) if fields.get(f) else none).alias(f) for f in FIELDS))
+    src = df.select(F.col(key).alias("id"), *((F.col(fields[f]) if fields.get(f) else none).alias(f) for f in FIELDS), *(F.col(c).alias(k) for k, c in (keep or {}).items()))
+    kept = [*(keep or {})]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -81,23 +83,26 @@ def read_records(df: DataFrame, key: str, **fields: str | None) -> DataFrame:
                     a.number if a else "", a.street if a else "", a.unit if a else "", town or n.town, a.zip if a else "", address_fullness(a, address),
                 ))
             cols = [c.split()[0] for c in _SCHEMA.split(", ")]
-            yield pd.concat([pdf[["id"]].reset_index(drop=True), pd.DataFrame(out, columns=cols)], axis=1)
+            yield pd.concat([pdf[["id", *kept]].reset_index(drop=True), pd.DataFrame(out, columns=cols)], axis=1)
 
     kind = df.schema[key].dataType.simpleString()
-    return src.mapInPandas(run, f"id {kind}, {_SCHEMA}")
+    more = "".join(f"{k} {df.schema[c].dataType.simpleString()}, " for k, c in (keep or {}).items())
+    return src.mapInPandas(run, f"id {kind}, {more}{_SCHEMA}")
 
 
-def own_sites(records: DataFrame, share: float = 0.005, least: int = 10) -> DataFrame:
-    """Blanks the sites of pages that list many businesses: a site under very many different names is nobody's own.
+def own_sites(records: DataFrame, least: int = 6) -> DataFrame:
+    """Blanks the sites of pages that list many businesses.
 
-    A page counts as shared if at least ``least`` rows and ``share`` of all rows hold it;
-    so at most ``1 / share`` sites are known to be shared, which bounds the broadcast.
+    The names of one business mostly share a word, however they are typed; a page is shared if at
+    least ``least`` rows name it and no word stands in half of their names.  The size of the page
+    or of the table plays no part.
     """
-    total = records.count()
-    limit = max(least, int(total * share))
-    hubs = records.where("site <> ''").groupBy("site").agg(F.count("*").alias("n"), F.approx_count_distinct("core").alias("names"))
-    hubs = hubs.where((F.col("n") >= limit) & (F.col("names") >= 8)).select("site", F.lit(True).alias("hub"))
-    return records.join(F.broadcast(hubs), "site", "left").withColumn("site", F.when(F.col("hub"), F.lit("")).otherwise(F.col("site"))).drop("hub")
+    named = records.where("site <> ''")
+    rows = named.groupBy("site").agg(F.count("*").alias("n")).where(F.col("n") >= least)
+    words = named.select("site", F.explode(F.array_distinct("words")).alias("w")).groupBy("site", "w").count().groupBy("site").agg(F.max("count").alias("top"))
+    hubs = cut(rows.join(words, "site", "left").where(F.coalesce("top", F.lit(0)) * 2 < F.col("n")).select("site", F.lit(True).alias("hub")), "shared")
+    some = F.broadcast(hubs) if hubs.count() <= 100_000 else hubs
+    return records.join(some, "site", "left").withColumn("site", F.when(F.col("hub"), F.lit("")).otherwise(F.col("site"))).drop("hub")
 
 
 def with_places(records: DataFrame) -> DataFrame:
@@ -110,9 +115,10 @@ def with_places(records: DataFrame) -> DataFrame:
     return filled.withColumn("place", F.when(F.col("place") != "", F.col("place")).otherwise(F.coalesce("by_zip", F.lit("")))).drop("by_zip")
 
 
-def prepare(tables: list[tuple[DataFrame, str, dict[str, str]]]) -> DataFrame:
+def prepare(tables: list[tuple[DataFrame, str, dict[str, str]]], keep: dict[str, str] | None = None) -> DataFrame:
     """Records of several tables with a ``kind`` (0, 1, ... by table), written out once."""
-    parts = [read_records(spread(df.select(key, *dict.fromkeys(fields.values()))), key, **fields).withColumn("kind", F.lit(i)) for i, (df, key, fields) in enumerate(tables)]
+    more = [*(keep or {}).values()]
+    parts = [read_records(spread(df.select(key, *dict.fromkeys([*fields.values(), *more]))), key, keep, **fields).withColumn("kind", F.lit(i)) for i, (df, key, fields) in enumerate(tables)]
     raw = parts[0]
     for p in parts[1:]:
         raw = raw.unionByName(p)

@@ -1,71 +1,83 @@
 """Deduplication of new batches against all history.
 
-A segment index for edit distance.  Every accepted key is stored as a fixed
-number of segments, each with the key's length and the segment's place.  A new
-key within ``EDITS`` edits must contain one of the segments of the old one
+A stored segment index for edit distance.  Every accepted key is stored as a
+fixed number of segments, each with the key's length and the segment's place.
+A new key within ``EDITS`` edits must contain one of the segments of the old one
 unchanged and near its place, so it probes only the substrings that can be
-one; what meets is verified with the bounded edit distance.  A batch's own
-segments are appended after it has been probed.
+one; what meets is verified with the bounded edit distance.  The batch's own
+segments are stored after it has been probed.  The index lies in folders by
+hash; a batch opens only those its probes fall into, and what is stored is never
+written again.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
-from ..session import cut
+from ..session import cut, shared_path
 
 EDITS = 2
 PARTS = EDITS + 1  # of which one is left whole by any EDITS edits
 BLOCK = 60  # keys a segment may hold; longer lists are split by the rest of the key, which is exact
+FUZZY = ("whole", "rare")  # forms compared under the edit distance; the others must be equal
+NAMES = (*FUZZY, "typed", "initial", "exact")
+FACTS = ("site", "phone7", "number", "place", "short")
 
 
 def keys(records: DataFrame, common: list[str]) -> DataFrame:
-    """``id``, ``form``, ``key``, ``short``: the texts under which a record is stored and looked up.
+    """``id``, ``form``, ``key`` and ``FACTS``: the texts under which a record is stored and looked up.
 
-    The whole name in the order of its words, the name with its first word cut to a
-    letter (people shorten given names), and the name without common words.  Sites are
-    compared exactly.  ``short``: the name has such a letter itself.  A name shared by very many
-    rows is one key.
+    The whole name in the order of its words, the name as typed, the name with its first word
+    cut to a letter (people shorten given names), the name without common words, and the own site
+    and phone.  Names of fewer than six letters and names of holdings are compared as they are.
+    ``short``: the name has such a letter itself.  A name shared by very many rows is one key.
     """
     words = F.array_sort("words")
     joined = lambda a: F.array_join(a, "")
     rare = F.filter(words, lambda w: ~w.isin(common))
+    first_cut = F.array_sort(F.transform("words", lambda w, i: F.when(i == 0, F.left(w, F.lit(1))).otherwise(w)))
+    name = ~F.col("legal") & (F.length(joined(words)) >= 6)
+    form = lambda what, key, there: F.struct(F.lit(what).alias("form"), F.when(there & (key != ""), key).alias("key"))
     forms = F.array(
-        F.struct(F.lit("whole").alias("form"), joined(words).alias("key")),
-        F.struct(F.lit("typed").alias("form"), joined("words").alias("key")),
-        F.struct(F.lit("rare").alias("form"), F.when(F.size(rare) > 1, joined(rare)).alias("key")),
-        F.struct(F.lit("initial").alias("form"), F.when(F.size(rare) > 1, joined(F.array_sort(F.transform("words", lambda w, i: F.when(i == 0, F.left(w, F.lit(1))).otherwise(w))))).alias("key")),
-    )
-    short = F.exists("words", lambda w: F.length(w) == 1)
-    return records.select("id", short.alias("short"), F.explode(forms).alias("x")).select("id", "x.form", "x.key", "short").where(F.length("key") >= 6)
+        form("whole", joined(words), name), form("typed", joined(F.col("words")), name), form("rare", joined(rare), name & (F.size(rare) > 1) & (F.length(joined(rare)) >= 6)),
+        form("initial", joined(first_cut), name & (F.size(rare) > 1) & (F.length(joined(first_cut)) >= 6)), form("exact", joined(words), ~name),
+        form("site", F.col("site"), F.lit(True)), form("phone", F.col("phone"), F.lit(True)),
+    )
+    facts = records.select("id", "site", "phone7", "number", "place", F.exists("words", lambda w: F.length(w) == 1).alias("short"), F.explode(F.filter(forms, lambda x: x["key"].isNotNull())).alias("x"))
+    of_name = ~F.col("x.form").isin("site", "phone")  # a site or phone says enough by itself
+    return facts.select("id", "x.form", "x.key", *(F.when(of_name, F.col(c)).otherwise(F.lit(False) if c == "short" else F.lit("")).alias(c) for c in FACTS))
+
+
+def _mask(key: Column) -> Column:
+    """Parity of the count of each letter: an edit changes two at most."""
+    return F.aggregate(F.split(key, ""), F.lit(0), lambda m, c: m.bitwiseXOR(F.when(c == "", 0).otherwise(F.call_function("shiftleft", F.lit(1), F.ascii(c) % 31))))
 
 
 def _ids(keyed: DataFrame) -> DataFrame:
-    """Distinct ``form``, ``key`` with ``kid`` (hash) and ``mask`` (parity of the count of each letter)."""
-    letters = F.split("key", "")
-    mask = F.aggregate(letters, F.lit(0), lambda m, c: m.bitwiseXOR(F.when(c == "", 0).otherwise(F.call_function("shiftleft", F.lit(1), F.ascii(c) % 31))))
-    return keyed.select("form", "key").distinct().withColumn("kid", F.xxhash64("form", "key")).withColumn("mask", mask)
+    """Distinct ``form``, ``key`` with ``kid`` (hash) and ``mask``."""
+    return keyed.select("form", "key").distinct().withColumn("kid", F.xxhash64("form", "key")).withColumn("mask", _mask(F.col("key")))
 
 
 def segments(keyed: DataFrame) -> DataFrame:
-    """The index rows of the keys: ``kid``, ``mask``, ``key``, ``h`` (hash of form, length, place and segment)."""
+    """The index rows of the keys: ``h`` (hash of form, length, place and segment), ``kid``, ``mask``, ``key``."""
     length = F.length("key")
     base, extra = F.floor(length / PARTS).cast("int"), length % PARTS
     # the last ``extra`` segments are one letter longer
     start = lambda i: (base * i + F.greatest(F.lit(0), i - (PARTS - extra)) + 1).cast("int")
     size = lambda i: (base + (i >= PARTS - extra).cast("int")).cast("int")
     cuts = F.transform(F.sequence(F.lit(0), F.lit(PARTS - 1)), lambda i: F.xxhash64("form", length, i, F.col("key").substr(start(i), size(i))))
-    return keyed.select("kid", "mask", "key", F.explode(cuts).alias("h"))
+    return keyed.select(F.explode(cuts).alias("h"), "kid", "mask", "key")
 
 
-def probes(keyed: DataFrame, longer: bool) -> DataFrame:
-    """The substrings of each key that can be a segment of a key within reach: ``kid``, ``mask``, ``key``, ``h``.
+def probes(keyed: DataFrame) -> DataFrame:
+    """The substrings of each key that can be a segment of a key within reach: ``h``, ``kid``, ``mask``, ``key``.
 
     For an old key of length l, segment i at place p can only stand at p - i ... p + i or, from the
     other end, at p + d - (PARTS - 1 - i) ... p + d + (PARTS - 1 - i), d the difference of lengths.
-    ``longer``: whether keys longer than this one are looked for too.
     """
     n = F.length("key")
 
@@ -82,133 +94,209 @@ def probes(keyed: DataFrame, longer: bool) -> DataFrame:
 
         return F.flatten(F.transform(F.sequence(F.lit(0), F.lit(PARTS - 1)), place))
 
-    top = n + EDITS if longer else n
-    lengths = F.sequence(F.greatest(F.lit(1), n - EDITS).cast("int"), top.cast("int"))
-    return keyed.select("kid", "mask", "key", F.explode(F.array_distinct(F.flatten(F.transform(lengths, of)))).alias("h"))
+    lengths = F.sequence(F.greatest(F.lit(1), n - EDITS).cast("int"), (n + EDITS).cast("int"))
+    return keyed.select(F.explode(F.array_distinct(F.flatten(F.transform(lengths, of)))).alias("h"), "kid", "mask", "key")
+
+
+def _quarters(key: Column) -> Column:
+    """The letters of six groups in their order: an edit changes at most two groups, so two edits leave two of six unchanged."""
+    groups = ("abcd", "efgh", "ijklm", "nopq", "rst", "uvwxyz0123456789")
+    return F.array(*(F.concat(F.lit(str(i)), F.regexp_replace(key, f"[^{g}]", "")) for i, g in enumerate(groups)))
 
 
-def near_keys(new: DataFrame, old: DataFrame, mutual: bool = False) -> DataFrame:
-    """``form``, ``new``, ``old``: distinct keys of ``new`` with those of ``old`` within ``EDITS`` edits (equal ones too).
+def meet(probe: DataFrame, index: DataFrame) -> DataFrame:
+    """``new``, ``old`` (key ids) and ``stored``: keys within ``EDITS`` edits (equal ones too); keys under twelve letters may differ by one edit only.
 
-    Both have ``form`` and ``key``; short keys may differ by one edit only.  ``mutual``: both are one
-    set, so that each pair need only be found by its longer key.  Segments held by more than
-    ``BLOCK`` keys would meet too often; for these index and probe also carry the key's letters by
-    groups, of which EDITS edits leave some unchanged, so nothing within reach is lost.  The parity
-    of the letters rules most pairs out before the keys are fetched: an edit changes two at most.
+    ``index``: segments with a flag ``stored``.  A segment held by more than ``BLOCK`` keys would
+    meet too often; index and probe then also carry the key's letters by groups, of which EDITS
+    edits leave some unchanged, so nothing within reach is lost.  The parity of the letters rules
+    most pairs out before keys are compared.
     """
-    a = cut(_ids(new), "keys")
-    b = a if mutual else cut(_ids(old), "keys")
-    index, probe = segments(b), probes(a, not mutual)
-    hot = cut(index.groupBy("h").count().where(F.col("count") > BLOCK).select("h", F.lit(True).alias("hot")), "hot")
+    held = index.groupBy("h").agg(F.count("*").alias("n"))
+    split = lambda d: d.join(held, "h").withColumn("q", F.explode(F.when(F.col("n") > BLOCK, _quarters(F.col("key"))).otherwise(F.array(F.lit("")))))
+    a = split(probe).select("h", "q", F.col("kid").alias("new"), F.col("mask").alias("ma"), F.col("key").alias("ka"))
+    b = split(index).select("h", "q", F.col("kid").alias("old"), F.col("mask").alias("mb"), F.col("key").alias("kb"), "stored")
     apart = F.bit_count(F.col("ma").bitwiseXOR(F.col("mb"))) <= 2 * EDITS
+    both = a.join(b, ["h", "q"]).where(apart).where(F.levenshtein("ka", "kb", EDITS) >= 0)
+    close = F.when(F.least(F.length("ka"), F.length("kb")) < 12, 1).otherwise(EDITS)
+    return both.where(F.levenshtein("ka", "kb") <= close).groupBy("new", "old").agg(F.max("stored").alias("stored"))
 
-    def meet(i: DataFrame, p: DataFrame) -> DataFrame:
-        x = p.select("h", F.col("kid").alias("ka"), F.col("mask").alias("ma"))
-        y = i.select("h", F.col("kid").alias("kb"), F.col("mask").alias("mb"))
-        return x.join(y, "h").where(apart).select("ka", "kb")
-
-    # keys are carried only where they are needed to split a hot segment
-    cold = meet(index.select("h", "kid", "mask").join(hot, "h", "left_anti"), probe.select("h", "kid", "mask").join(hot, "h", "left_anti"))
-    split = lambda d: d.join(hot, "h").withColumn("q", F.explode(_quarters(F.col("key")))).withColumn("h", F.xxhash64("h", "q"))
-    met = cut(cold.unionAll(meet(split(index), split(probe))).distinct(), "met")
-    pairs = met.join(a.select(F.col("kid").alias("ka"), "form", F.col("key").alias("new")), "ka").join(b.select(F.col("kid").alias("kb"), F.col("key").alias("old")), "kb")
-    close = F.when(F.least(F.length("new"), F.length("old")) < 12, 1).otherwise(EDITS)
-    pairs = pairs.where(F.levenshtein("new", "old", EDITS) >= 0).where(F.levenshtein("new", "old") <= close).select("form", "new", "old")
-    return pairs.unionAll(pairs.where("new <> old").select("form", F.col("old").alias("new"), F.col("new").alias("old"))).distinct() if mutual else pairs
 
+def near_keys(new: DataFrame, old: DataFrame) -> DataFrame:
+    """``form``, ``new``, ``old``: distinct keys (``form``, ``key``) of ``new`` with those of ``old`` within reach."""
+    a, b = _ids(new), _ids(old)
+    met = meet(probes(a), segments(b).withColumn("stored", F.lit(True)))
+    named = met.join(a.select(F.col("kid").alias("new"), "form", F.col("key").alias("k")), "new").select("form", F.col("k").alias("new"), "old")
+    return named.join(b.select(F.col("kid").alias("old"), F.col("key").alias("k")), "old").select("form", "new", F.col("k").alias("old"))
 
-def _quarters(key: Column) -> Column:
-    """Counts of letters in six groups: an edit changes at most two groups, so two edits leave two of six unchanged."""
-    groups = ("abcd", "efgh", "ijklm", "nopq", "rst", "uvwxyz0123456789")
-    counts = [F.concat(F.lit(str(i)), F.length(F.regexp_replace(key, f"[^{g}]", "")).cast("string"), F.regexp_replace(key, f"[^{g}]", "")) for i, g in enumerate(groups)]
-    # the letters of a group in their order: unchanged by edits to letters of other groups
-    return F.array(*counts)
 
+class SegmentIndex:
+    """All accepted rows, as stored below ``path``: ``segments`` of their keys, ``signs`` (keys with what is known of the row) and ``links`` between rows.
 
-def links(new: DataFrame, old: DataFrame, common: list[str]) -> DataFrame:
-    """``a`` (earlier row), ``b`` (later row): rows of ``new`` that are a row of ``old``, by site or by name.
+    ``common``: words that tell little, fixed when the index is made.  ``parts``: folders by hash in
+    each table; a probe opens one, so with more folders a small batch reads less of the history.
+    A batch is accepted when all it stores is written; one that failed before that is added again.
+    """
 
-    Both are records; ``old`` may hold the rows of ``new`` themselves.  One edge per row and
-    key: to the first row of the same site, and to the first rows under near names, unless own
-    sites, street numbers or places say that these are two businesses.
+    def __init__(self, spark: SparkSession, common: list[str], path: str | None = None, parts: int = 16):
+        self.spark, self.common, self.parts = spark, common, parts
+        self.path = path or shared_path(spark, "segment-index")
+        top = self._place("accepted")
+        fs = self._files(top)
+        self.batches = sorted(int(x.getPath().getName()) for x in fs.listStatus(top)) if fs.exists(top) else []
+
+    def _place(self, name: str):
+        return self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+
+    def _files(self, place):
+        return place.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+    def stored(self, table: str, folders: list[int] | None = None) -> DataFrame | None:
+        """A table of the accepted batches; with ``folders`` only those, which is all that is opened."""
+        if not self.batches:
+            return None
+        df = self.spark.read.option("basePath", f"{self.path}/{table}").parquet(*(f"{self.path}/{table}/batch={n}" for n in self.batches))
+        return df if folders is None else df.where(F.col("part").isin(folders))
+
+    def _append(self, df: DataFrame, table: str, batch: int, by: str) -> None:
+        out = df.withColumn("part", F.pmod(by, F.lit(self.parts)).cast("int")).repartition("part")
+        out.write.mode("overwrite").partitionBy("part").parquet(f"{self.path}/{table}/batch={batch}")
+
+    def _folders(self, hashes: DataFrame, by: str, at_least: int) -> list[int] | None:
+        """The folders that so many hashes fall into (``parts`` numbers at most); None for all, which is what many hashes hit."""
+        if at_least > 8 * self.parts:
+            return None
+        return [r.part for r in hashes.select(F.pmod(by, F.lit(self.parts)).cast("int").alias("part")).distinct().collect()]
+
+    def add(self, records: DataFrame, batch: int) -> None:
+        """Probes the rows of one batch, stores their links to earlier rows and to one another, and their keys.
+
+        Rows of a batch that agree in key and facts are one signature, held by the first of them.
+        """
+        if batch in self.batches:
+            raise ValueError(f"batch {batch} has been added")
+        sign = cut(_signed(keys(records, self.common)).groupBy("kid", "sid", "form", "key", *FACTS).agg(F.min("id").alias("id")), "signs")
+        many = sign.count()
+        fresh = sign.where(F.col("form").isin(*FUZZY)).select("kid", "form", "key").distinct().withColumn("mask", _mask(F.col("key")))
+        asked = probes(fresh)
+        held = segments(fresh).withColumn("stored", F.lit(False))
+        if self.batches:  # what no probe asks for is left behind at once
+            old = self.stored("segments", self._folders(asked, "h", many)).select("h", "kid", "mask", "key", F.lit(True).alias("stored"))
+            held = held.unionByName(old.join(asked.select("h").distinct(), "h", "left_semi"))
+        near = cut(meet(asked, held), "near")
+        pairs = near.select("new", "old").unionAll(sign.where(~F.col("form").isin(*FUZZY)).select(F.col("kid").alias("new"), F.col("kid").alias("old")).distinct())
+        theirs = sign.withColumn("stored", F.lit(False))
+        if self.batches:
+            wanted = pairs.select(F.col("old").alias("kid")).distinct()
+            theirs = theirs.unionByName(self.stored("signs", self._folders(wanted, "kid", many)).join(wanted, "kid", "left_semi").select(*sign.columns, F.lit(True).alias("stored")))
+        given = lambda c: F.when(F.col(c) != "", F.col(c))
+        several = lambda c: F.coalesce(F.min(given(c)) != F.max(given(c)), F.lit(False))
+        stat = theirs.groupBy("kid").agg((several("place") | several("site")).alias("many"), F.min("id").alias("lead"))
+        theirs = cut(theirs.join(stat, "kid"), "asked")
+
+        known = near.where("stored and new = old").select(F.col("new").alias("kid"))
+        again = theirs.where("stored").select("sid")
+        links = _links(pairs, theirs).unionByName(self._twins(records, sign))
+        with ThreadPoolExecutor(3) as pool:  # three independent writes
+            jobs = [
+                pool.submit(self._append, segments(fresh.join(known, "kid", "left_anti")), "segments", batch, "h"),
+                pool.submit(self._append, sign.join(again, "sid", "left_anti"), "signs", batch, "kid"),
+                pool.submit(links.write.mode("overwrite").parquet, f"{self.path}/links/batch={batch}"),
+            ]
+            for job in jobs:
+                job.result()
+        mark = self._place(f"accepted/{batch}")
+        self._files(mark).create(mark, True).close()
+        self.batches.append(batch)
+
+    def _twins(self, records: DataFrame, sign: DataFrame) -> DataFrame:
+        """Links of a signature's other rows to its first one; of the lesser forms only where a fact stands beside them."""
+        lesser = F.col("form").isin("rare", "initial")
+        told = ((F.col("phone7") != "") | (F.col("place") != "")) & ((F.col("form") != "initial") | F.col("short"))
+        mine = _signed(keys(records, self.common)).where(~lesser | told).select("sid", F.col("id").alias("b"))
+        twins = mine.join(sign.select("sid", F.col("id").alias("a")), "sid").where("a < b").select("a", "b").distinct()
+        return twins.select("a", "b", F.lit(False).alias("weak"), F.lit(False).alias("torn"), *(F.lit("").alias(c) for c in _SIDES))
+
+    def firsts(self) -> DataFrame:
+        """``id``, ``first``: the first row of the business of every row that is linked to another, as far as batches have been added.
+
+        Only the links are read, two ids each; no text of the history is.
+        """
+        links = self.stored("links")
+        if links is None:
+            raise ValueError("no batch has been added")
+        from .suffixes import settled
+
+        torn = links.where("torn").select(F.col("a").alias("n"))
+        calm = links.where("not torn").join(torn.select(F.col("n").alias("a"), F.lit(True).alias("ta")).distinct(), "a", "left").join(torn.select(F.col("n").alias("b"), F.lit(True).alias("tb")).distinct(), "b", "left")
+        blank_torn = (F.col("ta").isNotNull() & (F.col("place_a") == "")) | (F.col("tb").isNotNull() & (F.col("place_b") == ""))
+        calm = cut(calm.where(~F.col("weak") | ~blank_torn).drop("ta", "tb", "torn", "batch"), "links")
+        found = connected_components(settled(calm))
+        return found.select(F.col("node").alias("id"), F.col("component").alias("first"))
+
+    def answers(self, batch: DataFrame) -> DataFrame:
+        """``id``, ``first`` of the rows of a batch just added; a row that joins two businesses takes the first row of both."""
+        return batch.select("id").join(self.firsts(), "id", "left").select("id", F.coalesce("first", "id").alias("first"))
+
+
+_SIDES = ("place_a", "site_a", "place_b", "site_b")
+
+
+def _signed(keyed: DataFrame) -> DataFrame:
+    return keyed.withColumn("kid", F.xxhash64("form", "key")).withColumn("sid", F.xxhash64("kid", *FACTS))
+
+
+def _links(pairs: DataFrame, signs: DataFrame) -> DataFrame:
+    """Signatures under near keys that are one business: nothing own may differ, and the less the name says the more must agree.
+
+    What must agree (seven digits, street number and place, place, or a side that says nothing)
+    is part of the join, so that a name of many businesses does not meet itself everywhere.  A row
+    of unknown place whose name is borne in several places, or beside several own sites, is
+    ``torn``: it would be a guess, and none of its weak links counts; to find that it meets only
+    the first row of the name.
     """
-    site = _first(old, ["site"]).where("site <> ''")
-    by_site = new.where("site <> ''").select("id", "site").join(site.select("site", F.col("first").alias("a")), "site").select("a", F.col("id").alias("b"))
-    phone = _first(old, ["phone"]).where("phone <> ''")
-    by_phone = new.where("phone <> ''").select("id", "phone").join(phone.select("phone", F.col("first").alias("a")), "phone").select("a", F.col("id").alias("b"))
-    # by name: rows that agree in key and evidence meet as one, so that a common name makes no pairs of rows
-    facts = ["site", "phone", "phone7", "number", "place"]
-    mine = keys(new.where("not legal"), common).join(new.select("id", *facts), "id")
-    theirs = keys(old.where("not legal"), common).join(old.select("id", *facts), "id")
-    facts = [*facts, "short"]
-    sig_new = cut(mine.groupBy("form", "key", *facts).agg(F.min("id").alias("id")), "probe")
-    sig_old = sig_new if new is old else cut(theirs.groupBy("form", "key", *facts).agg(F.min("id").alias("id")), "stored")
-    typed = F.col("form").isin("typed", "initial")  # words run together or cut: compared exactly
-    same_set = new is old
-    near = near_keys(sig_new.where(~typed), sig_old.where(~typed), same_set)
-    exact = sig_new.where(typed).select("form", F.col("key").alias("new")).distinct().withColumn("old", F.col("new"))
-    met = cut(near.unionAll(exact), "near")
-    x = sig_new.select("form", F.col("key").alias("new"), F.col("id").alias("b"), *(F.col(f).alias(f"{f}_b") for f in facts))
-    y = sig_old.select("form", F.col("key").alias("old"), F.col("id").alias("a"), *(F.col(f).alias(f"{f}_a") for f in facts))
-    both = met.join(x, ["form", "new"]).join(y, ["form", "old"]).where("a <> b")
+    place, number = F.col("place"), F.col("number")
+    named = F.col("form").isin(*NAMES)
+    when = lambda test, *parts: F.when(test, F.concat(*(F.lit(p) if len(p) == 1 else F.col(p) for p in parts)))
+    equal = [when(F.col("phone7") != "", "p", "phone7"), when((place != "") & (number != ""), "n", "number", "@", "place"), when(~named, "*")]
+    some, none, led = (place != ""), named & (place == ""), named & (~F.col("many") | (F.col("id") == F.col("lead")))
+    ask = [when(some & (number == ""), "a", "place"), when(some, "b", "place"), when(none, "c"), when(led, "d")]
+    tell = [when(some, "a", "place"), when(some & (number == ""), "b", "place"), when(led, "c"), when(none, "d")]
+    token = lambda more: F.explode(F.array_compact(F.array(*equal, *more))).alias("t")
+    fields = ["id", "many", *FACTS]
+    x = pairs.join(signs.where("not stored"), F.col("new") == F.col("kid")).select(F.col("old").alias("kid"), "form", token(ask), *(F.col(f).alias(f"{f}_b") for f in fields))
+    y = signs.select("kid", token(tell), *(F.col(f).alias(f"{f}_a") for f in fields))
+    both = x.join(y, ["kid", "t"])
+    torn = F.when(F.col("t") == "c", F.col("many_a")).when(F.col("t") == "d", F.col("many_b")).otherwise(F.lit(False))
+    both = both.withColumn("torn", torn)
     differ = lambda f: (F.col(f"{f}_a") != "") & (F.col(f"{f}_b") != "") & (F.col(f"{f}_a") != F.col(f"{f}_b"))
     same = lambda f: (F.col(f"{f}_a") != "") & (F.col(f"{f}_a") == F.col(f"{f}_b"))
     spot = same("number") & same("place")
     lesser = F.col("form").isin("rare", "initial")  # such keys need a fact beside them
     fact = same("phone7") | spot | (same("place") & ~differ("number"))
     cut_short = (F.col("form") != "initial") | F.col("short_a") | F.col("short_b")
-    named = both.where(cut_short).where(~differ("site") & (spot | same("phone7") | (~differ("place") & ~differ("number"))) & (~lesser | fact))
-    blank = (F.col("place_a") == "") | (F.col("place_b") == "")
-    judged = named.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), (blank & ~same("phone7")).alias("weak"))
-    judged = judged.groupBy("a", "b").agg(F.min("weak").alias("weak"))
-    from .suffixes import settled
-
-    info = new.select("id", "place", "site").unionAll(old.select("id", "place", "site")).distinct()
-    by_name = settled(cut(judged, "judged"), info)
-    # a signature's other rows hang on its first one
-    twins = mine.where("form = 'whole'").select("id", *facts, "key").join(
-        sig_new.where("form = 'whole'").select("key", *facts, F.col("id").alias("a")), ["key", *facts]
-    ).select("a", F.col("id").alias("b"))
-    return by_site.unionAll(by_phone).unionAll(by_name).unionAll(twins).where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-
-
-def _first(rows: DataFrame, by: list[str]) -> DataFrame:
-    return rows.groupBy(*by).agg(F.min("id").alias("first"))
-
-
-def first_rows(records: DataFrame, common: list[str]) -> DataFrame:
-    """``id``, ``first``: the first row of each record's business, over all batches at once.
-
-    Loading every batch in turn gives the same links, since a row only ever joins rows
-    with smaller ids; see :func:`append_batch` for the step of one batch.
-    """
-    found = connected_components(links(records, records, common))
-    return records.select("id").join(found.withColumnRenamed("node", "id"), "id", "left").select("id", F.coalesce("component", "id").alias("first"))
-
-
-def append_batch(batch: DataFrame, history: DataFrame | None, common: list[str]) -> tuple[DataFrame, DataFrame]:
-    """(``id``, ``first`` of the batch's rows; the new history).
-
-    ``history``: the records accepted so far with their ``first``.  Only the batch is
-    probed; of the history only what the segments hit is read.  A row that joins two
-    businesses takes the first row of both.
-    """
-    known = batch.withColumn("first", F.col("id")) if history is None else history.unionByName(batch.withColumn("first", F.col("id")))
-    known = cut(known, "history")
-    edges = links(batch, known.drop("first"), common)
-    old = known.select(F.col("id").alias("b"), F.col("first").alias("a")).where("a <> b")
-    touched = connected_components(edges.unionAll(old.select("a", "b")))
-    merged = known.drop("first").join(touched.withColumnRenamed("node", "id"), "id", "left").withColumn("first", F.coalesce("component", "id")).drop("component")
-    merged = cut(merged, "history")
-    return merged.join(batch.select("id"), "id", "left_semi").select("id", "first"), merged
+    fit = ~differ("site") & (spot | same("phone7") | (~differ("place") & ~differ("number"))) & (~lesser | fact) & cut_short & (F.col("id_a") != F.col("id_b"))
+    weak = F.col("form").isin(*NAMES) & ((F.col("place_a") == "") | (F.col("place_b") == "")) & ~same("phone7")
+    left = F.col("torn") | (F.col("id_a") < F.col("id_b"))
+    blank = F.when(F.col("t") == "c", F.col("id_b")).otherwise(F.col("id_a"))  # the side a torn row is on
+    side = lambda c, s: F.when(left, F.col(f"{c}_{s}")).otherwise(F.col(f"{c}_{'b' if s == 'a' else 'a'}"))
+    found = both.where(F.col("torn") & ~lesser | ~F.col("torn") & fit).select(
+        *(F.when(F.col("torn"), blank).otherwise(side("id", s)).alias(s) for s in "ab"), "torn", (weak & ~F.col("torn")).alias("weak"),
+        *(F.when(F.col("torn"), F.lit("")).otherwise(side(c[:-2], c[-1])).alias(c) for c in _SIDES),
+    )
+    return found.groupBy("a", "b", "torn").agg(F.min("weak").alias("weak"), *(F.max(c).alias(c) for c in _SIDES)).select("a", "b", "weak", "torn", *_SIDES)
+
+
+def load_batches(records: DataFrame, common: list[str], by: str = "batch", parts: int = 16, path: str | None = None) -> SegmentIndex:
+    """The index after all batches of ``records``, added in the order of ``by``; rows without one come last."""
+    index = SegmentIndex(records.sparkSession, common, path, parts)
+    last = 2**31 - 1
+    numbered = records.withColumn(by, F.coalesce(F.col(by), F.lit(last)))
+    for n in sorted(r[0] for r in numbered.select(by).distinct().collect()):  # one number per batch
+        index.add(numbered.where(F.col(by) == n), n)
+    return index
 
 
 def repeats(firsts: DataFrame) -> DataFrame:
     """``first_row_id``, ``row_id``: the rows whose business came earlier."""
     return firsts.where("first < id").select(F.col("first").alias("first_row_id"), F.col("id").alias("row_id"))
-
-
-def latest_names(records: DataFrame, firsts: DataFrame) -> DataFrame:
-    """``first``, ``core``: the name a business bears in its last row."""
-    w = Window.partitionBy("first").orderBy(F.desc("id"))
-    return records.join(firsts, "id").withColumn("n", F.row_number().over(w)).where("n = 1").select("first", "core")

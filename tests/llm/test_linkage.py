@@ -168,20 +168,52 @@ def test_segments_find_every_key_in_reach(spark):
     want = {(a, b) for a in keys for b in keys if len(a) > 5 and len(b) > 5 and levenshtein(a, b) <= (1 if min(len(a), len(b)) < 12 else 2)}
     for block in (60, 2):
         segments.BLOCK = block  # 2: nearly every segment is split by its letters
-        assert {(r.new, r.old) for r in segments.near_keys(df, df, True).collect()} == want
         assert {(r.new, r.old) for r in segments.near_keys(df, df).collect()} == want
     segments.BLOCK = 60
 
 
-def test_batch_by_batch_is_all_at_once(spark, data):
+def _prepared(spark, data):
     p = spark.read.parquet(f"{data}/businesses_prepared.parquet")
-    rec = records.prepare([(p, "row_id", {"name": "business_name", "phone": "phone", "website": "website", "address": "address"})])
-    whole = {r.id: r["first"] for r in segments.first_rows(rec, []).collect()}
-    history, got = None, {}
-    for low, high in ((0, 60), (60, 110), (110, 10_000)):
-        firsts, history = segments.append_batch(rec.where(f"id > {low} and id <= {high}"), history, [])
-        got |= {r.id: r["first"] for r in firsts.collect()}
-    assert {k: v for k, v in got.items() if v < k and whole[k] == k} == {}
-    assert {r.id: r["first"] for r in history.select("id", "first").collect()} == whole
-    assert segments.repeats(segments.first_rows(rec, [])).count() == sum(v < k for k, v in whole.items())
-    assert segments.first_rows(rec.where("false"), []).count() == 0
+    return records.prepare([(p, "row_id", {"name": "business_name", "phone": "phone", "website": "website", "address": "address"})], {"batch": "batch_no"})
+
+
+def test_batch_by_batch_is_all_at_once(spark, data):
+    """Three batches give what one batch of all rows gives; a reopened index goes on where it was left; a failed batch is added again."""
+    rec = _prepared(spark, data)
+    whole = segments.SegmentIndex(spark, [])
+    whole.add(rec, 1)
+    want = {(r.id, r["first"]) for r in whole.firsts().collect()}
+    index = segments.SegmentIndex(spark, [], parts=4)
+    parts = [rec.where(f"id > {low} and id <= {high}") for low, high in ((0, 60), (60, 110), (110, 10_000))]
+    index.add(parts[0], 1)
+    spark.range(1).selectExpr("id as junk").write.parquet(f"{index.path}/links/batch=2")  # what a lost batch leaves
+    index = segments.SegmentIndex(spark, [], index.path, parts=4)
+    assert index.batches == [1]
+    index.add(parts[1], 2)
+    told = {r.id: r["first"] for r in index.answers(parts[1]).collect()}
+    index.add(parts[2], 3)
+    assert {(r.id, r["first"]) for r in index.firsts().collect()} == want
+    assert all(v <= k for k, v in told.items()) and len(told) == parts[1].count()
+    with pytest.raises(ValueError):
+        index.add(parts[2], 3)
+    assert segments.repeats(segments.load_batches(rec.withColumn("batch", F.lit(None).cast("int")), []).firsts()).count() == sum(f < i for i, f in want)
+    empty = segments.SegmentIndex(spark, [])
+    empty.add(rec.where("false"), 1)
+    assert empty.firsts().count() == 0
+
+
+def test_small_batch_reads_and_writes_little(spark):
+    """With many folders a batch of two rows opens a small part of the history, and stores only its own keys."""
+    cols = "id long, name string, phone string, website string, address string"
+    rows = [(i, f"{a}{b} Hollow{c} {d}works", None, f"{a}{b}{c}{d}.example", "Berea, KY") for i, (a, b, c, d) in enumerate((a, b, c, d) for a in ("Quar", "Welk", "Zan", "Plo") for b in ("ford", "mere", "tiq") for c in ("by", "dale", "ton", "ick") for d in ("Iron", "Wood", "Glass"))]
+    rec = records.prepare([(spark.createDataFrame(rows, cols), "id", {c: c for c in ("name", "phone", "website", "address")})])
+    index = segments.SegmentIndex(spark, [], parts=512)
+    index.add(rec, 1)
+    before, size = index.stored("segments").count(), index.stored("signs").count()
+    late = records.prepare([(spark.createDataFrame([(900, "Quarford Hollowby Ironworks", None, None, "Berea"), (901, "Welkmere Hollowdal Woodworks", None, None, None)], cols), "id", {c: c for c in ("name", "phone", "website", "address")})])
+    opened = index.stored("segments", index._folders(segments.probes(segments._ids(segments.keys(late, []).where("form in ('whole', 'rare')"))), "h", 2)).count()
+    assert opened < before / 2
+    index.add(late, 2)
+    assert {r.id: r["first"] for r in index.answers(late).collect()} == {900: 0, 901: [r[0] for r in rows if r[1] == "Welkmere Hollowdale Woodworks"][0]}
+    # two rows with three fuzzy keys that were not there, of three segments each, at most
+    assert index.stored("segments").where("batch = 2").count() <= 12 and index.stored("signs").where("batch = 2").count() <= 12 < size
