@@ -288,12 +288,21 @@ def _links(pairs: DataFrame, signs: DataFrame) -> DataFrame:
 
 
 def load_batches(records: DataFrame, common: list[str], by: str = "batch", parts: int = 16, path: str | None = None) -> SegmentIndex:
-    """The index after all batches of ``records``, added in the order of ``by``; rows without one come last."""
+    """The index after all batches of ``records``, in the order of ``by``; rows without one come last.
+
+    A backlog is taken in steps that double, so that n waiting batches cost log n steps: the first
+    alone, then the second, then two, then four.  The answers are those of single batches, since
+    the rows of a step are also compared with one another.
+    """
     index = SegmentIndex(records.sparkSession, common, path, parts)
     last = 2**31 - 1
     numbered = records.withColumn(by, F.coalesce(F.col(by), F.lit(last)))
-    for n in sorted(r[0] for r in numbered.select(by).distinct().collect()):  # one number per batch
-        index.add(numbered.where(F.col(by) == n), n)
+    waiting = sorted(r[0] for r in numbered.select(by).distinct().collect())  # one number per batch
+    done = 0
+    while done < len(waiting):
+        step = waiting[done : max(1, 2 * done)]
+        index.add(numbered.where(F.col(by).between(step[0], step[-1])), step[-1])
+        done += len(step)
     return index
 
 
