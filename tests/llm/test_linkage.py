@@ -217,3 +217,29 @@ def test_small_batch_reads_and_writes_little(spark):
     assert {r.id: r["first"] for r in index.answers(late).collect()} == {900: 0, 901: [r[0] for r in rows if r[1] == "Welkmere Hollowdale Woodworks"][0]}
     # two rows with three fuzzy keys that were not there, of three segments each, at most
     assert index.stored("segments").where("batch = 2").count() <= 12 and index.stored("signs").where("batch = 2").count() <= 12 < size
+
+
+def test_large_blocks_lose_no_spelling(spark):
+    """A phone under many spellings of one name, in rows that differ in their facts, is one class; others of that phone stay apart."""
+    rng = random.Random(9)
+    rows = []
+    for i in range(150):
+        name = list("Zelda Kelmbridge Photography")
+        for _ in range(rng.randrange(0, 3)):
+            name[rng.randrange(6, 28)] = rng.choice("aeiklmnr")
+        rows.append((i, "".join(name), "(270) 111-2222", None, f"{i % 60 + 1} Elm St, Berea"))
+    rows += [(200 + i, f"{a}{b} Roofing", "(270) 111-2222", None, None) for i, (a, b) in enumerate((a, b) for a in ("Quor", "Vand", "Hylt") for b in ("imsby", "etholt"))]
+    df = spark.createDataFrame([(*r, "x") for r in rows], COLS)
+    rec = records.prepare([(df, "id", {c: c for c in ("name", "phone", "website", "address")})])
+    got = {r.id: r.entity for r in suffixes.link_names(rec).collect()}
+    assert {got[i] for i in range(150)} == {0} and all(v >= 200 for k, v in got.items() if k >= 200)
+
+
+def test_the_filter_spares_what_the_rules_accept(spark):
+    """An abbreviated common word and an extra word don't hide a pair that the rules would accept."""
+    rows = [(1, "Zelda Kelmbridge Photography", None, None, "Berea"), (2, "Zelda Kelmbridge Photo", None, None, "Berea")]
+    rows += [(10 + i, f"Name{chr(97 + i % 26)}{chr(97 + i // 26)}xx Photography", None, None, "Corbin") for i in range(60)]
+    df = spark.createDataFrame([(*r, "x") for r in rows], COLS)
+    rec = records.prepare([(df, "id", {c: c for c in ("name", "phone", "website", "address")})])
+    got = {r.id: r.entity for r in suffixes.link_names(rec).collect()}
+    assert got[1] == got[2] == 1 and len({got[10 + i] for i in range(60)}) > 30
