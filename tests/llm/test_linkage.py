@@ -152,6 +152,36 @@ def test_precedence_orders_undated_values(spark):
     assert got[90] == "new" and got[91] == "y" and got[3] == "270"
 
 
+def test_topologically_latest(spark):
+    """219 gave way to 270, 270 to 859: an undated 859 follows 219 though the two were never seen together; a circle gives in at its weakest link."""
+    vals, groups, n = [], [], 0
+
+    def seen(times, *kinds):
+        nonlocal n
+        for g in range(times):
+            for t, k in enumerate(kinds):
+                vals.append((n, "phone", f"{k}-{n}", k, 2, f"202{t}-01-01", 1))
+                groups.append((n, f"{'-'.join(kinds)}{g}"))
+                n += 1
+
+    seen(30, "219", "270")
+    seen(20, "270", "859")
+    seen(3, "859", "219")  # the circle's weakest link
+    seen(5, "606", "502")
+    seen(5, "502", "606")  # no telling
+    for g, rows in {
+        "chain": [("219", None), ("859", None), ("270", None)], "dated": [("219", "2029-01-01"), ("859", None)], "stale": [("859", "2021-01-01"), ("219", None)],
+        "open": [("606", None), ("502", None)], "apart": [("606", "2020-01-01"), ("859", None)],
+    }.items():
+        for k, at in rows:
+            vals.append((n, "phone", f"{g}-{k}", k, 2, at, 1))
+            groups.append((n, g))
+            n += 1
+    v = spark.createDataFrame(vals, "id long, field_name string, value string, kind string, full int, t string, trust int").withColumn("at", F.col("t").cast("timestamp")).drop("t")
+    got = {r.entity: r.value for r in survivors.survivors(v, spark.createDataFrame(groups, "id long, entity string")).collect()}
+    assert {g: got[g] for g in ("chain", "dated", "stale", "open", "apart")} == {"chain": "chain-859", "dated": "dated-859", "stale": "stale-859", "open": "open-606", "apart": "apart-606"}
+
+
 def test_segments_find_every_key_in_reach(spark):
     rng = random.Random(4)
     base = ["".join(rng.choice("abcdef") for _ in range(rng.randrange(8, 20))) for _ in range(60)]
