@@ -22,7 +22,7 @@ from ..session import cut
 from .canonical import levenshtein
 from .names import fold
 
-# Places and the other names people write for them.
+# Places and the other names people write for them; others are read from the texts.
 PLACES = {
     "louisville": "lou lville", "lexington": "lex lexingtonfayette", "bowling green": "bg bowlinggrn", "owensboro": "oboro", "covington": "cov",
     "hopkinsville": "hoptown", "elizabethtown": "etown elizabethtn", "paducah": "", "frankfort": "frankfurt", "danville": "", "somerset": "",
@@ -50,7 +50,11 @@ _TOWN = {re.sub(r"\W", "", w): town for town, other in PLACES.items() for w in [
 _UNIT = re.compile(r"(?:\b(?:suite|ste|unit|apt|apartment|room|rm)\b\.?\s*#?\s*|#\s*)([0-9]+\s?[a-z]?|[a-z])\b")
 _BOX = re.compile(r"\bp\.?\s*o\.?\s*box\b|\bpost\s+office\s+box\b")
 _ZIP = re.compile(r"(?<![\d#])(\d{5})(?:-\d{4}|\.0)?(?!\d)")
-_NUMBER = re.compile(r"(?<![\w.#-])(\d{1,6})(?![\w.-])(?=\s+\w)")
+_NUMBER = re.compile(r"(?<![\w.#-])(\d{1,6})(?:\s?[-–]\s?\d{1,6}|[a-z])?(?![\w.-])(?=\s+\w)")  # the first of a range stands for it
+_ROUTE = re.compile(r"^((?:us|u s|ky|kentucky|state|county|interstate|i)\b)?\s*(?:(?:highway|hwy|route|rte|rt|road)\b)?\s*(\d{1,4}[a-z]?)\b")
+_ROUTE_OF = {"us": "us", "u s": "us", "interstate": "interstate", "i": "interstate", "county": "county", "state": "state", "ky": "state", "kentucky": "state"}
+_GRID = re.compile(r"\b(calle|carrera|cra|cll|avenida)\.?\s+(\d+[a-z]?)\s*(?:#|no\.?)\s*(\d+)")  # street by number, house behind the mark
+_OTHER = frozenset("suite ste unit apt apartment room rm floor fl building bldg lot rear plaza center centre square mall tower and the".split())
 _NOISE = re.compile(r"\bn\s*/\s*a\b|\bunited states(?: of america)?\b|\busa\b|\bu\.s\.a?\.?(?=\W|$)")
 _WORD = re.compile(r"[^\W_]+(?:'[^\W_]+)?")
 
@@ -121,13 +125,16 @@ def parse_address(raw: str | None, city: str | None = None, state: str | None =
     text = fold(raw or "").replace("\xa0", " ")
     text = _NOISE.sub(" ", re.sub(r"[\n\r;|]+", ", ", text))
     text = re.sub(r"\s+", " ", text).strip(" ,.-")
-    extra_town = find_town(fold(city)) if city else ""
+    extra_town = (find_town(fold(city)) or _own_town([fold(city)])) if city else ""
     extra_state = _STATE.get(fold(state).strip(" ."), "") if state else ""
     if not text:
         return (Parse("", "", "", "", "", extra_town, extra_state, "", 0.0),) if extra_town else ()
     box = bool(_BOX.search(text))
     if box:
         text = re.sub(_BOX.pattern + r"\s*#?\s*\d*", " ", text)
+    grid = _GRID.search(text)
+    if grid and not box:
+        text = f"{text[: grid.start()]} {grid.group(3)} {grid.group(1)}{grid.group(2)} {text[grid.end() :]}".strip()
     unit = ""
     if m := _UNIT.search(text):
         unit = m.group(1).replace(" ", "")
@@ -161,14 +168,24 @@ def parse_address(raw: str | None, city: str | None = None, state: str | None =
                 prior -= 2.0
             elif tail and not clean1:
                 prior -= 1.0
-            town = extra_town or town1 or town2
+            town = extra_town or town1 or town2 or _own_town(segments[k + 1 :])
             out.append(Parse(m.group(1).lstrip("0") or "0", side, street, kind, unit, town, extra_state or state1 or state2, zip5, prior - 0.5 * k))
-        break
     if out:
         out.sort(key=lambda p: -p.prior)
         return tuple(dict.fromkeys(out))[:beam]
     town, st, _ = _read_tail([w for s in segments for w in _WORD.findall(s)])
-    return (Parse("", "", "", "", unit, extra_town or town, extra_state or st, zip5, 0.0),)
+    return (Parse("", "", "", "", unit, extra_town or town or ("" if box or len(segments) > 2 else _own_town(segments[:1] if len(segments) > 1 else [])), extra_state or st, zip5, 0.0),)
+
+
+def _own_town(segments: list[str]) -> str:
+    """The words of the last segment that can name a place which is not among ``PLACES``; "" if none can."""
+    for seg in reversed(segments):
+        words = _WORD.findall(seg)
+        while words and words[-1] in _STATE:
+            words.pop()
+        if words and len("".join(words)) >= 4 and all(w.isalpha() and w not in _KIND and w not in _OTHER and w not in _SIDE for w in words):
+            return " ".join(words)
+    return ""
 
 
 def _street_readings(tokens: list[str]) -> Iterator[tuple[float, str, str, str, list[str]]]:
@@ -176,6 +193,12 @@ def _street_readings(tokens: list[str]) -> Iterator[tuple[float, str, str, str,
     side, words = "", tokens
     if len(words) > 1 and _side(words[0]) and words[1] not in _KIND:
         side, words = _side(words[0]), words[1:]
+    if m := _ROUTE.match(" ".join(words)):  # a numbered route: the system, where it is told, is the kind
+        back = _WORD.findall(" ".join(words)[m.end() :])
+        if m.end() > len(m.group(2)):  # a word for route stands before the number
+            behind = _side(back[0]) if back and not side else ""
+            yield 3.0, side or behind, f"route{m.group(2)}", _ROUTE_OF.get(m.group(1) or "", ""), back[1:] if behind else back
+            return
     for n in (1, 2, 3):
         if n > len(words):
             return
@@ -221,6 +244,7 @@ def parse_table(df: DataFrame, keys: list[str], address: str, city: str | None =
 
 def with_locality(parsed: DataFrame) -> DataFrame:
     """Adds ``place``: the town, or the town that the ZIP stands for in these data, or the ZIP itself."""
+    parsed = _like_towns(parsed)
     by_zip = parsed.where("rank = 0 and zip <> '' and town <> ''").groupBy("zip", "town").count()
     best = by_zip.groupBy("zip").agg(F.max_by("town", F.struct("count", "town")).alias("zip_town"))
     # one row per ZIP that occurs: at most 100,000
@@ -228,6 +252,13 @@ def with_locality(parsed: DataFrame) -> DataFrame:
     return joined.withColumn("place", F.when(F.col("town") != "", F.col("town")).otherwise(F.coalesce("zip_town", "zip"))).drop("zip_town")
 
 
+def _like_towns(parsed: DataFrame) -> DataFrame:
+    """Misspelt towns take the spelling most rows of these data give; listed towns stay."""
+    seen = parsed.where("rank = 0 and town <> ''").groupBy(F.col("town").alias("street")).agg(F.count("*").cast("double").alias("n"))
+    spelt = _hang(seen, []).where("up <> street").select(F.col("street").alias("town"), F.col("up").alias("_town")).where(~F.col("town").isin(*PLACES))
+    return parsed.join(spelt, "town", "left").withColumn("town", F.coalesce("_town", "town")).drop("_town")
+
+
 def _hang(counted: DataFrame, keys: list[str]) -> DataFrame:
     """``keys``, ``street``, ``n``, ``up``: the head each spelling hangs on (itself where it is a head).
 
@@ -272,13 +303,22 @@ def gazetteer(parsed: DataFrame) -> DataFrame:
 
 
 def resolve(parsed: DataFrame, entries: DataFrame, keys: list[str]) -> DataFrame:
-    """The supported parse of each beam: ``keys``, ``place``, ``street_id``, ``number``, ``side``, ``kind``, ``unit``, ``zip``."""
-    scored = parsed.where("number <> '' and street <> '' and place <> ''").join(entries, ["place", "street"], "left")
+    """The supported parse of each beam: ``keys``, ``place``, ``street_id``, ``number``, ``side``, ``kind``, ``unit``, ``zip``.
+
+    An address without any locality takes the only place that has its street and number; where
+    there are several, or none, its ``place`` is empty.
+    """
+    scored = parsed.where("number <> '' and street <> ''").join(entries, ["place", "street"], "left")
     score = F.col("prior") + F.least(F.log1p(F.coalesce("support", F.lit(0.0))), F.lit(4.0)) / 4
     best = scored.groupBy(*keys).agg(
-        F.max(F.struct(score.alias("score"), (-F.col("rank")).alias("r"), "place", F.coalesce("street_id", "street").alias("street_id"), "number", "side", "kind", "unit", "zip")).alias("b")
+        F.max(F.struct(score.alias("score"), (-F.col("rank")).alias("r"), "place", F.coalesce("street_id", "street").alias("street_id"), "number", "side", "kind", "unit", "zip", "street")).alias("b")
     )
-    return best.select(*keys, "b.place", "b.street_id", "b.number", "b.side", "b.kind", "b.unit", "b.zip")
+    best = cut(best.select(*keys, "b.place", "b.street_id", "b.number", "b.side", "b.kind", "b.unit", "b.zip", "b.street"), "resolved")
+    known = best.where("place <> ''").groupBy("street", "number").agg(F.min("place").alias("_p"), F.max("place").alias("_q"), F.min("street_id").alias("_s"))
+    found = best.where("place = ''").join(known.where("_p = _q"), ["street", "number"], "left")
+    cols = [*keys, "place", "street_id", "number", "side", "kind", "unit", "zip"]
+    told = found.withColumn("place", F.coalesce("_p", "place")).withColumn("street_id", F.coalesce("_s", "street_id")).select(*cols)
+    return best.where("place <> ''").select(*cols).unionByName(told)
 
 
 def resolve_addresses(df: DataFrame, keys: list[str], address: str, city: str | None = None, state: str | None = None) -> DataFrame:
@@ -300,9 +340,9 @@ def same_place_pairs(resolved: DataFrame, texts: DataFrame, key: str = "id") ->
     """``id_a`` < ``id_b``: rows of one place whose texts differ as typed.
 
     Join on street identifier and number; unit, kind of street and side of town
-    must agree where both are given.  ``texts``: ``key`` and ``text``.
+    must agree where both are given.  Addresses of unknown place are in no pair.  ``texts``: ``key`` and ``text``.
     """
-    both = resolved.join(texts.select(key, F.col("text")), key)
+    both = resolved.where("place <> ''").join(texts.select(key, F.col("text")), key)
     a = both.select(*(F.col(c).alias(f"{c}_a") for c in both.columns))
     b = both.select(*(F.col(c).alias(f"{c}_b") for c in both.columns))
     on = [F.col(f"{c}_a") == F.col(f"{c}_b") for c in ("place", "street_id", "number")]

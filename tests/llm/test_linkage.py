@@ -62,6 +62,24 @@ def test_parse_address():
     addresses.parse_address("1 " + "x" * 50_000)
 
 
+def test_parse_routes_ranges_and_unlisted_towns():
+    read = lambda raw: (lambda p: (p.number, p.street, p.kind, p.town))(addresses.parse_address(raw)[0])
+    assert read("1200 US Highway 60, Versailles, KY") == ("1200", "route60", "us", "versailles")
+    assert read("1200 US-31, Versailles, KY") == ("1200", "route31", "us", "versailles") and read("1200 Hwy 60")[:3] == ("1200", "route60", "")
+    assert read("12-14 Elm Street, Berea")[:3] == ("12", "elm", "street") and read("Calle 9 #120, Berea")[:2] == ("120", "calle9")
+    assert read("Granite Square, 120 Main St, Versailles, KY") == ("120", "main", "street", "versailles") and read("120 Main St")[3] == ""
+
+
+def test_no_row_is_lost_for_its_town(spark):
+    rows = [(1, "120 Main St, Versailles, KY"), (2, "120 Main Street, Versailes KY"), (3, "120 Main St, Versailles"), (4, "77 Gristmill Ln"), (5, "77 Gristmill Lane, Berea, KY"), (6, "120 Main Street, Paris, KY"), (7, "120 Main"),
+            (8, "1200 US Highway 60, Berea"), (9, "1200 US Hwy 31, Berea"), (10, "1200 Highway 60, Berea KY")]
+    df = spark.createDataFrame(rows, "id long, address string")
+    res = addresses.resolve_addresses(df, ["id"], "address")
+    assert {r.id for r in res.collect()} == set(range(1, 11)) and {r.id for r in res.where("place = ''").collect()} == {7}
+    got = {(r.id_a, r.id_b) for r in addresses.same_place_pairs(res, df.select("id", F.col("address").alias("text"))).collect()}
+    assert got == {(1, 3), (4, 5), (8, 10)} | ({(1, 2), (2, 3)} & got)
+
+
 def test_same_places(spark):
     rows = [
         (1, "100 N Elmwood St, Berea, KY 40403"), (2, "100 north elmwod street, Beria"), (3, "100 Elmwood, 40403"), (4, "100 S Elmwood St, Berea, KY 40403"), (5, "100 N Elmwood Ave, Berea"),
