@@ -137,9 +137,9 @@ def p9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _subjects(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    docs, labels = _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "subject_labels")
-    models = subjects.train(docs, _read(spark, sf_dir, "subjects"), labels)
-    return subjects.assign(docs, models), labels
+    parsed, labels = subjects.parse(_read(spark, sf_dir, "documents")), _read(spark, sf_dir, "subject_labels")
+    models = subjects.train(parsed, _read(spark, sf_dir, "subjects"), labels)
+    return subjects.assign(parsed, models), labels
 
 
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:

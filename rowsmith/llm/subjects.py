@@ -25,10 +25,14 @@ from pyspark.sql import functions as F
 from ..session import cut, slots
 from .names import fold
 
-TERMS = 20_000  # terms in the matrix at most, the most frequent ones
+RARE = 5e-5  # terms on a smaller share of a language's documents (or on one) are left out of the matrix
+TERMS = 500_000  # terms of a language that a worker can hold; more are refused, not cut
 LABELS = 100_000  # labelled rows used at most, by the order of a hash
 FREE = 1  # components that belong to no subject; it starts as the corpus' average and takes up what all subjects share
-UPDATES = 8
+UPDATES = 200  # at most; the factors settle long before
+TOLERANCE = 0.02  # of the mass of all components that an update still moves when they have settled
+STEPS = 3  # of the mixture of a sentence
+SHARE = 0.6  # of what a sentence gives to subjects that its subject must hold
 SEVERAL = 2.0  # sentences that make a subject
 WIDE = 0.2  # terms on a larger share of a language's documents say nothing of a subject
 # Frequent short words of a language; texts with none of them are read as "other".
@@ -115,81 +119,124 @@ class Model:
         self.points = np.where(top >= 0.5, top, 0.0)
         self.frames = frames or {}
 
-    def sentence(self, words: list[str]) -> tuple[int, float, list[int]]:
-        """(subject or -1, certainty, known terms) of a sentence."""
-        ids = [self.index[t] for t in terms_of(words) if t in self.index]
-        if not ids:
-            return -1, 0.0, ids
+    def mixtures(self, rows: list[list[int]]) -> np.ndarray:
+        """The mass of each component in each row of term numbers: the row's mixture under the term factor, times its terms."""
+        size = [len(r) for r in rows]
+        at = np.repeat(np.arange(len(rows)), size)
+        h = self.factor[:, np.fromiter((t for r in rows for t in r), np.int64, sum(size))].T + 1e-15
+        w = np.full((len(rows), self.factor.shape[0]), 1.0 / self.factor.shape[0])
+        mass = np.zeros_like(w)
+        for _ in range(STEPS):
+            r = w[at] * h
+            r /= r.sum(axis=1, keepdims=True)
+            mass = np.stack([np.bincount(at, weights=r[:, c], minlength=len(rows)) for c in range(w.shape[1])], axis=1)
+            w = mass / np.maximum(mass.sum(axis=1, keepdims=True), 1e-12)
+        return mass
+
+    def sentences(self, rows: list[list[int]]) -> list[int]:
+        """The subject each sentence deals with, or -1: it holds ``SHARE`` of what the sentence gives to subjects, and a term at least."""
         k = len(self.subjects)
-        w = self.points[ids]
-        mix = (self.share[ids, :k] * w[:, None]).sum(axis=0)
-        best = int(mix.argmax()) if k else -1
-        if k == 0 or mix[best] < 1.0 or mix[best] < 0.6 * mix.sum():
-            return -1, 0.0, ids
-        return best, float(mix[best] / mix.sum()), ids
+        if k == 0 or not rows:
+            return [-1] * len(rows)
+        mass = self.mixtures(rows)[:, :k]
+        best = mass.argmax(axis=1)
+        top = mass[np.arange(len(rows)), best]
+        return np.where((top >= 1.0) & (top >= SHARE * mass.sum(axis=1)), best, -1).tolist()
+
+    def ids(self, words: list[str]) -> list[int]:
+        return [self.index[t] for t in terms_of(words) if t in self.index]
 
     def weight(self, ids: list[int]) -> float:
         """How much a sentence counts: less where its frame usually mentions things in passing."""
         return min((self.frames[i] for i in ids if i in self.frames), default=1.0)
 
-    def subjects_of(self, found: list[list[str]], several: float = SEVERAL) -> list[str]:
-        counts: dict[int, float] = {}
-        for words in found:
-            s, _, ids = self.sentence(words)
-            if s >= 0:
-                counts[s] = counts.get(s, 0.0) + self.weight(ids)
-        return [self.subjects[s] for s in sorted(counts) if counts[s] >= several]
+    def subjects_of(self, texts: list[list[list[str]]], several: float = SEVERAL) -> list[list[str]]:
+        """The subjects of each text (the words of its sentences), from the mixtures of all their sentences at once."""
+        rows = [self.ids(words) for found in texts for words in found]
+        said = iter(zip(self.sentences(rows), rows))
+        out = []
+        for found in texts:
+            counts: dict[int, float] = {}
+            for _ in found:
+                s, ids = next(said)
+                if s >= 0:
+                    counts[s] = counts.get(s, 0.0) + self.weight(ids)
+            out.append([self.subjects[s] for s in sorted(counts) if counts[s] >= several])
+        return out
+
+
+def parse(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``k``, ``l``, ``x``: key, language, and the words of the sentences, a line each; every text is read this once.
+
+    Null and empty texts, and texts without words, have no row.
+    """
+    kind = docs.schema[key].dataType.simpleString()
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            found = [sentences(t) for t in pdf["x"]]
+            texts = pd.Series(["\n".join(" ".join(w) for w in f) for f in found], dtype="object")
+            yield pd.DataFrame({"k": pdf["k"], "l": pd.Series([language_of(f) for f in found], dtype="object"), "x": texts})
+
+    src = docs.select(F.col(key).alias("k"), F.col(text).alias("x")).where("length(x) > 0")
+    return cut(src.repartition(slots(docs.sparkSession)).mapInPandas(run, f"k {kind}, l string, x string").where("x <> ''"), "sentences")
+
+
+def _counts(seen: Counter) -> pd.DataFrame:
+    return pd.DataFrame({"l": pd.Series([x for x, _ in seen], dtype="object"), "w": pd.Series([x for _, x in seen], dtype="object"), "n": pd.Series(list(seen.values()), dtype="int64")})
+
+
+def _lines(x: str) -> list[list[str]]:
+    return [line.split(" ") for line in x.split("\n")]
 
 
-def vocabularies(docs: DataFrame, text: str, size: int = TERMS) -> dict[str, list[str]]:
-    """By language, the ``size`` most frequent terms by documents, counted over all documents; none on more than ``WIDE`` of them."""
+def vocabularies(parsed: DataFrame) -> dict[str, list[str]]:
+    """By language, the terms on at least ``RARE`` of its documents, counted over all documents, and on no more than ``WIDE`` of them.
+
+    So a language has at most the terms of an average document / ``RARE``; more than ``TERMS`` are refused.
+    """
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: Counter[tuple[str, str]] = Counter()
         for pdf in batches:
-            for t in pdf["t"]:
-                found = sentences(t)
-                lang = language_of(found)
-                seen.update({(lang, term) for words in found for term in terms_of(words)} | {(lang, "")})
+            for lang, x in zip(pdf["l"], pdf["x"]):
+                seen.update({(lang, term) for words in _lines(x) for term in terms_of(words)} | {(lang, "")})
             if len(seen) > 300_000:
-                yield pd.DataFrame({"l": [x for x, _ in seen], "w": [x for _, x in seen], "n": list(seen.values())})
+                yield _counts(seen)
                 seen = Counter()
-        yield pd.DataFrame({"l": [x for x, _ in seen], "w": [x for _, x in seen], "n": list(seen.values())}, columns=["l", "w", "n"])
+        yield _counts(seen)
 
-    texts = docs.select(F.col(text).alias("t")).where("length(t) > 0")
-    found = cut(texts.mapInPandas(count, "l string, w string, n long").groupBy("l", "w").agg(F.sum("n").alias("n")), "terms")
+    found = cut(parsed.select("l", "x").mapInPandas(count, "l string, w string, n long").groupBy("l", "w").agg(F.sum("n").alias("n")), "terms")
     totals = {r.l: r.n for r in found.where("w = ''").collect()}  # one row per language
     out = {}
     for lang, total in sorted(totals.items()):
-        least, most = max(2, int(total * 5e-5)), max(2, int(total * WIDE))
-        rows = found.where((F.col("l") == lang) & F.col("n").between(least, most) & (F.length("w") >= 3)).orderBy(F.desc("n"), "w").limit(size)
-        out[lang] = [r.w for r in rows.collect()]
+        least, most = max(2, int(total * RARE)), max(2, int(total * WIDE))
+        rows = found.where((F.col("l") == lang) & F.col("n").between(least, most) & (F.length("w") >= 3))
+        if (many := rows.count()) > TERMS:
+            raise ValueError(f"{many} terms of language {lang}; at most {TERMS} fit a worker")
+        out[lang] = [r.w for r in rows.orderBy(F.desc("n"), "w").collect()]
     return out
 
 
-def matrix(docs: DataFrame, key: str, text: str, vocabs: dict[str, list[str]], labels: DataFrame, subjects: list[str]) -> DataFrame:
+def matrix(parsed: DataFrame, vocabs: dict[str, list[str]], labels: DataFrame, subjects: list[str]) -> DataFrame:
     """Sparse rows: key, language, term numbers, counts of sentences, and the subjects of labelled documents."""
-    kind = docs.schema[key].dataType.simpleString()
-    src = docs.select(F.col(key).alias("k"), F.col(text).alias("x")).where("length(x) > 0")
+    kind = parsed.schema["k"].dataType.simpleString()
     given = F.create_map(*(F.lit(v) for i, s in enumerate(subjects) for v in (s, i))) if subjects else F.lit(None).cast("map<string,int>")
     y = labels.select("k", given[F.col("subject")].alias("s")).where("s is not null").groupBy("k").agg(F.collect_set("s").alias("y"))
-    src = src.join(y, "k", "left")
+    src = parsed.join(y, "k", "left")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         indexes = {lang: {t: i for i, t in enumerate(v)} for lang, v in vocabs.items()}
         for pdf in batches:
-            ls, t, n = [], [], []
-            for x in pdf["x"]:
-                found = sentences(x)
-                lang = language_of(found)
+            t, n = [], []
+            for lang, x in zip(pdf["l"], pdf["x"]):
                 index = indexes.get(lang, {})
-                c = Counter(index[term] for words in found for term in set(terms_of(words)) if term in index)
-                ls.append(lang)
+                c = Counter(index[term] for words in _lines(x) for term in set(terms_of(words)) if term in index)
                 t.append(list(c))
                 n.append([float(v) for v in c.values()])
-            yield pd.DataFrame({"k": pdf["k"], "l": ls, "t": t, "n": n, "y": pdf["y"]})
+            yield pd.DataFrame({"k": pdf["k"], "l": pdf["l"].astype("object"), "t": t, "n": n, "y": pdf["y"]})
 
-    return src.repartition(slots(docs.sparkSession)).mapInPandas(run, _row(kind))
+    return src.repartition(slots(parsed.sparkSession)).mapInPandas(run, _row(kind))
 
 
 def _solve(t: list, n: list, y: list, factor: np.ndarray, k: int, steps: int = 4) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -226,143 +273,152 @@ def _solve(t: list, n: list, y: list, factor: np.ndarray, k: int, steps: int = 4
     return w, num, w.sum(axis=0)
 
 
-def fit(rows: DataFrame, vocab: list[str], subjects: list[str], about: list[str], updates: int = UPDATES, seed: int = 7) -> np.ndarray:
-    """The term factor, (subjects + FREE) x terms, of all rows.
+def fit(rows: DataFrame, vocabs: dict[str, list[str]], subjects: list[str], about: dict[str, list[str]], seed: int = 7) -> dict[str, np.ndarray]:
+    """The term factor of each language, (subjects + FREE) x terms, of all rows.
 
-    Each update is one pass: every task solves the mixtures of its rows with the factor of
-    the last update and returns one sum per component and term, whatever the number of rows.
+    Each update is one pass over the languages that have not settled: every task solves the
+    mixtures of its rows with the factors of the last update and returns one sum per language,
+    component and term, whatever the number of rows.  It ends when no component moves more than
+    ``TOLERANCE`` of its mass.
     """
-    k, v = len(subjects), len(vocab)
+    k = len(subjects)
     spark = rows.sparkSession
-    rng = np.random.default_rng(seed)
-    factor = 0.05 + 0.05 * rng.random((k + FREE, v))
-    index = {t: i for i, t in enumerate(vocab)}
-    for s, words in enumerate(about):
-        for w in terms_of(_WORD.findall(fold(words or ""))):
-            for form in {w, w.rstrip("s"), w + "s"}:
-                if form in index and len(form) > 3:
-                    factor[s, index[form]] += 1.0
-    if v == 0:
-        return factor
-
-    def sums(pdf_rows: DataFrame, current: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        shared = spark.sparkContext.broadcast(current)  # (subjects + FREE) x TERMS numbers at most
+    factors: dict[str, np.ndarray] = {}
+    for lang, vocab in vocabs.items():
+        factor = 0.05 + 0.05 * np.random.default_rng(seed).random((k + FREE, len(vocab)))
+        index = {t: i for i, t in enumerate(vocab)}
+        for s, words in enumerate(about.get(lang, [])):
+            for w in terms_of(_WORD.findall(fold(words or ""))):
+                for form in {w, w.rstrip("s"), w + "s"}:
+                    if form in index and len(form) > 3:
+                        factor[s, index[form]] += 1.0
+        factors[lang] = factor
+
+    def sums(some: DataFrame, current: dict[str, np.ndarray]) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+        shared = spark.sparkContext.broadcast(current)  # (subjects + FREE) x TERMS numbers a language at most
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            h = shared.value
-            num, tot = np.zeros_like(h), np.zeros(h.shape[0])
+            num = {lang: np.zeros_like(h) for lang, h in shared.value.items()}
+            tot = {lang: np.zeros(h.shape[0]) for lang, h in shared.value.items()}
             for pdf in batches:
-                for a in range(0, len(pdf), 2_000):
-                    part = pdf.iloc[a : a + 2_000]
-                    _, x, y = _solve(list(part["t"]), list(part["n"]), list(part["y"]), h, k)
-                    num += x
-                    tot += y
-            yield pd.DataFrame({"c": range(h.shape[0]), "num": list(num), "tot": tot})
-
-        parts = pdf_rows.select("t", "n", "y").mapInPandas(run, "c int, num array<double>, tot double")
+                for lang, own in pdf.groupby("l"):
+                    for a in range(0, len(own), 2_000):
+                        part = own.iloc[a : a + 2_000]
+                        _, x, y = _solve(list(part["t"]), list(part["n"]), list(part["y"]), shared.value[lang], k)
+                        num[lang] += x
+                        tot[lang] += y
+            for lang, n in num.items():
+                if tot[lang].any():
+                    yield pd.DataFrame({"l": pd.Series([lang] * n.shape[0], dtype="object"), "c": range(n.shape[0]), "num": list(n), "tot": tot[lang]})
+
+        parts = some.where(F.col("l").isin(*current)).select("l", "t", "n", "y").mapInPandas(run, "l string, c int, num array<double>, tot double")
         # one row per component and task; summed by position before anything reaches the driver
-        spread = parts.select("c", "tot", F.posexplode("num").alias("p", "x")).where("x > 0 or p = 0")
-        total = spread.groupBy("c", "p").agg(F.sum("x").alias("x"), F.sum(F.when(F.col("p") == 0, F.col("tot")).otherwise(0.0)).alias("tot")).toPandas()
+        spread = parts.select("l", "c", "tot", F.posexplode("num").alias("p", "x")).where("x > 0 or p = 0")
+        total = spread.groupBy("l", "c", "p").agg(F.sum("x").alias("x"), F.sum(F.when(F.col("p") == 0, F.col("tot")).otherwise(0.0)).alias("tot")).toPandas()
         shared.destroy()
-        num, tot = np.zeros_like(current), np.zeros(current.shape[0])
-        num[total["c"].to_numpy(), total["p"].to_numpy()] = total["x"].to_numpy()
-        np.add.at(tot, total["c"].to_numpy(), total["tot"].to_numpy())
-        return num, tot
-
-    counted = rows.select(F.explode(F.arrays_zip("t", "n")).alias("x")).groupBy("x.t").agg(F.sum("x.n").alias("n")).collect()  # TERMS rows at most
-    average = np.zeros(v)
-    for r in counted:
-        average[r.t] = r.n
-    average /= max(average.mean(), 1e-9)
+        out = {lang: (np.zeros_like(h), np.zeros(h.shape[0])) for lang, h in current.items()}
+        for lang, own in total.groupby("l"):
+            num, tot = out[lang]
+            num[own["c"].to_numpy(), own["p"].to_numpy()] = own["x"].to_numpy()
+            np.add.at(tot, own["c"].to_numpy(), own["tot"].to_numpy())
+        return out
+
+    factors = {lang: f for lang, f in factors.items() if f.shape[1]}
+    average = {lang: np.zeros(f.shape[1]) for lang, f in factors.items()}
+    for r in rows.select("l", F.explode(F.arrays_zip("t", "n")).alias("x")).groupBy("l", "x.t").agg(F.sum("x.n").alias("n")).collect():  # TERMS rows a language at most
+        average[r.l][r.t] = r.n
     # the labelled rows alone seed the anchored components
     labelled = rows.where("size(y) > 0").orderBy(F.xxhash64("k")).limit(LABELS)
     for _ in range(2):
-        num, tot = sums(labelled, factor)
-        if tot.sum() == 0:
-            break
-        seeded = factor * num / (tot[:, None] + 1e-9)
-        factor = 0.02 * factor + np.where(tot[:, None] > 0, seeded, factor)
-    factor += 1e-4
-    # the free part starts as the average of all rows: a random start could grow into a subject of its own
-    factor[k:] = average[None, :] + 1e-4
-    factor /= factor.sum(axis=1, keepdims=True)
-    for _ in range(updates):
-        num, tot = sums(rows, factor)
-        factor = factor * num / (tot[:, None] + 1e-9) + 1e-9
-        # rows have the same mass, so that a component's factor is a distribution over terms
+        for lang, (num, tot) in sums(labelled, factors).items():
+            if tot.sum() > 0:
+                seeded = factors[lang] * num / (tot[:, None] + 1e-9)
+                factors[lang] = 0.02 * factors[lang] + np.where(tot[:, None] > 0, seeded, factors[lang])
+    for lang, factor in factors.items():
+        factor += 1e-4
+        # the free part starts as the average of all rows: a random start could grow into a subject of its own
+        factor[k:] = average[lang][None, :] / max(average[lang].mean(), 1e-9) + 1e-4
         factor /= factor.sum(axis=1, keepdims=True)
-    return factor * (tot[:, None] / max(tot.sum(), 1e-9))
+    moving, mass = dict(factors), {}
+    for _ in range(UPDATES):
+        for lang, (num, tot) in sums(rows, moving).items():
+            factor = factors[lang] * num / (tot[:, None] + 1e-9) + 1e-9
+            # rows have the same mass, so that a component's factor is a distribution over terms
+            factor /= factor.sum(axis=1, keepdims=True)
+            moved = np.abs(factor - factors[lang]).sum(axis=1) * tot / max(tot.sum(), 1e-9)
+            factors[lang], mass[lang] = factor, tot
+            moving[lang] = factor
+            if moved.sum() < TOLERANCE:
+                del moving[lang]
+        if not moving:
+            break
+    else:
+        raise RuntimeError("the factors did not settle")
+    return {lang: f * (mass[lang][:, None] / max(mass[lang].sum(), 1e-9)) for lang, f in factors.items()}
 
 
-def learn_frames(docs: DataFrame, key: str, text: str, labels: DataFrame, models: dict[str, Model], least: int = 8) -> dict[str, dict[int, float]]:
+def learn_frames(parsed: DataFrame, labels: DataFrame, models: dict[str, Model], least: int = 8) -> dict[str, dict[int, float]]:
     """By language, terms whose sentences name a subject in passing: the share in which the labels confirm it.
 
     Only terms that belong to no subject, are seen ``least`` times and confirmed in less than 0.6 are kept.
     """
     given = labels.groupBy("k").agg(F.collect_set("subject").alias("y")).orderBy(F.xxhash64("k")).limit(LABELS)
-    src = docs.select(F.col(key).alias("k"), F.col(text).alias("x")).where("length(x) > 0").join(given, "k")
+    src = parsed.join(given, "k")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hit: Counter[tuple[str, int]] = Counter()
         seen: Counter[tuple[str, int]] = Counter()
         for pdf in batches:
-            for x, y in zip(pdf["x"], pdf["y"]):
-                own, found = set(y), sentences(x)
-                lang = language_of(found)
-                m = models.get(lang)
-                for words in found if m else ():
-                    s, _, ids = m.sentence(words)
-                    for i in set(ids) if s >= 0 else ():
-                        if m.points[i] == 0:
-                            seen[lang, i] += 1
-                            hit[lang, i] += m.subjects[s] in own
+            for lang, x, y in zip(pdf["l"], pdf["x"], pdf["y"]):
+                if m := models.get(lang):
+                    rows = [m.ids(words) for words in _lines(x)]
+                    for s, ids in zip(m.sentences(rows), rows):
+                        for i in set(ids) if s >= 0 else ():
+                            if m.points[i] == 0:
+                                seen[lang, i] += 1
+                                hit[lang, i] += m.subjects[s] in set(y)
         rows = [(lang, i, n, hit[lang, i]) for (lang, i), n in seen.items()]
         yield pd.DataFrame(rows, columns=["l", "i", "n", "h"])
 
-    total = src.mapInPandas(run, "l string, i int, n long, h long").groupBy("l", "i").agg(F.sum("n").alias("n"), F.sum("h").alias("h"))
+    total = src.select("l", "x", "y").mapInPandas(run, "l string, i int, n long, h long").groupBy("l", "i").agg(F.sum("n").alias("n"), F.sum("h").alias("h"))
     out: dict[str, dict[int, float]] = {}
     for r in total.where(f"n >= {least} and h < 0.6 * n").collect():
         out.setdefault(r.l, {})[r.i] = r.h / r.n
     return out
 
 
-def train(docs: DataFrame, subjects: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> dict[str, Model]:
-    """A model by language.  ``subjects``: subject, about (small); ``labels``: key, subject (a few may be wrong or repeated).
+def train(parsed: DataFrame, subjects: DataFrame, labels: DataFrame, key: str = "doc_id") -> dict[str, Model]:
+    """A model by language of documents read by :func:`parse`.  ``subjects``: subject, about (small); ``labels``: key, subject (a few may be wrong or repeated).
 
     Empty tables give models without subjects.
     """
     listed = sorted({(r.subject, r.about or "") for r in subjects.select("subject", "about").collect() if r.subject})
     names, about = [s for s, _ in listed], [a for _, a in listed]
-    vocabs = vocabularies(docs, text)
+    vocabs = vocabularies(parsed)
     marks = labels.select(F.col(key).alias("k"), "subject").where("subject is not null").distinct()
-    rows = cut(matrix(docs, key, text, vocabs, marks, names), "terms")
-    models = {}
-    for lang, vocab in vocabs.items():
-        own = cut(rows.where(F.col("l") == lang).repartition(slots(docs.sparkSession)), "language")
-        models[lang] = Model(vocab, names, fit(own, vocab, names, about if lang == "en" else [""] * len(names)))
-    frames = learn_frames(docs, key, text, marks, models)
+    rows = cut(matrix(parsed, vocabs, marks, names), "terms")
+    models = {lang: Model(vocabs[lang], names, f) for lang, f in fit(rows, vocabs, names, {"en": about}).items()}
+    frames = learn_frames(parsed, marks, models)
     return {lang: Model(m.vocabulary, names, m.factor, frames.get(lang)) for lang, m in models.items()}
 
 
-def assign(docs: DataFrame, models: dict[str, Model], key: str = "doc_id", text: str = "text", several: float = SEVERAL) -> DataFrame:
+def assign(parsed: DataFrame, models: dict[str, Model], key: str = "doc_id", several: float = SEVERAL) -> DataFrame:
     """``key``, ``subject``: one row per document and subject that ``several`` sentences deal with.
 
     Null, empty and white-space texts and texts without a subject have no row; whole texts are
     read; repeated keys are answered each; extra columns are left out.
     """
-    kind = docs.schema[key].dataType.simpleString()
-    shared = docs.sparkSession.sparkContext.broadcast(models)  # at most TERMS x (subjects + FREE) by language
+    kind = parsed.schema["k"].dataType.simpleString()
+    shared = parsed.sparkSession.sparkContext.broadcast(models)  # at most TERMS x (subjects + FREE) by language
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         by_language = shared.value
-        for pdf in batches:
-            got = []
-            for t in pdf["t"]:
-                found = sentences(t)
-                m = by_language.get(language_of(found)) if found else None
-                got.append(m.subjects_of(found, several) if m else [])
-            sizes = [len(g) for g in got]
-            yield pd.DataFrame({"k": pdf["k"].repeat(sizes).to_numpy(), "subject": pd.Series([s for g in got for s in g], dtype="object")})
-
-    out = docs.select(F.col(key).alias("k"), F.col(text).alias("t")).mapInPandas(run, f"k {kind}, subject string")
-    return out.select(F.col("k").alias(key), "subject")
+        for whole in batches:
+            for a in range(0, len(whole), 500):
+                for lang, pdf in whole.iloc[a : a + 500].groupby("l"):
+                    if m := by_language.get(lang):
+                        got = m.subjects_of([_lines(x) for x in pdf["x"]], several)
+                        sizes = [len(g) for g in got]
+                        yield pd.DataFrame({"k": pdf["k"].repeat(sizes).to_numpy(), "subject": pd.Series([s for g in got for s in g], dtype="object")})
+
+    return parsed.mapInPandas(run, f"k {kind}, subject string").select(F.col("k").alias(key), "subject")

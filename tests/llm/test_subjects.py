@@ -33,17 +33,19 @@ def test_held_out_subjects(spark):
     df = spark.createDataFrame(docs, "doc_id long, text string, subject string")
     labels = spark.createDataFrame([(i, s) for i in range(60) for s in truth[i]] + [(0, None), (1, "unheard of")], "doc_id long, subject string")
     subs = spark.createDataFrame([(s, "") for s in PHRASES], "subject string, about string")
-    models = subjects.train(df, subs, labels)
+    parsed = subjects.parse(df)
+    models = subjects.train(parsed, subs, labels)
     got = {}
-    for r in subjects.assign(df, models).collect():
+    for r in subjects.assign(parsed, models).collect():
         got.setdefault(r.doc_id, set()).add(r.subject)
     held = [i for i in truth if i >= 60]
     right = sum(len(truth[i] & got.get(i, set())) for i in held)
     assert right / sum(len(truth[i]) for i in held) > 0.95
     assert right / sum(len(got.get(i, ())) for i in held) > 0.95
     assert not set(got) & {1_000, 1_001, 1_002, 1_003, 1_004}
-    assert subjects.assign(df.where("false"), models).count() == 0
-    assert subjects.assign(df, subjects.train(df.where("false"), subs, labels)).count() == 0
+    none = subjects.parse(df.where("false"))
+    assert subjects.assign(none, models).count() == 0
+    assert subjects.assign(parsed, subjects.train(none, subs, labels)).count() == 0
 
 
 def test_mend_and_split():
