@@ -19,6 +19,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut, spread
+
 # Other names of ownership labels, by label.
 OWNERSHIP_NAMES = {
     "Black-Owned": "black, blk, african, african american, afro american, afro, owned by a black family",
@@ -193,34 +195,40 @@ def allowed(length: int) -> int:
 
 
 class Matcher:
-    """Finds the entry a value stands for within one shard of the list."""
+    """Finds the entry a value stands for within one shard of the list; ``words`` are those that point at one entry of the whole list."""
 
-    def __init__(self, entries: list[tuple[int, str, str]], names: dict[str, str]):
+    def __init__(self, entries: list[tuple[int, str, str]], names: dict[str, str], words: list[tuple[str, int, int]] | None = None):
         self.whole = BKTree(surface_forms(entries, names))
-        self.words = BKTree(word_forms(entries, names))
-        self.find = lru_cache(maxsize=50_000)(self._find)
+        self.words = BKTree(word_forms(entries, names) if words is None else words)
+        self.parts = lru_cache(maxsize=50_000)(self._parts)
 
-    def _find(self, value: str) -> tuple[int, int, int, int] | None:
-        """(stage, distance, rank, id) of the best entry, or None; smaller is better, also across shards."""
+    def _parts(self, value: str) -> tuple[tuple[int, int, int] | None, tuple[tuple[str, int, int, int], ...]]:
+        """(distance, rank, id) of the best whole form, and word, distance, rank, id of the best entry of each word."""
         text = plain(value)
         q = _key(text)
         if not q:
-            return None
+            return None, ()
         # another name counts as typed wrongly only as far as its own letters carry it ("ask owner" is not "blk owner")
         hits = [h for h in self.whole.search(q, allowed(len(q))) if h[1] == 0 or h[0] <= allowed(len(q) - len(_TAIL.search(text).group()))]
         if hits:
-            return (0, *hits[0])
-        votes: dict[int, list[float]] = {}
-        for w in text.split():
-            if len(w) < 3 or w in COMMON:
-                continue
-            got = self.words.search(w, allowed(len(w)) if len(w) > 5 else 0)
-            for d, rank, entry in got[:1]:
-                votes.setdefault(entry, []).append(3.0 - d - 0.5 * rank)
-        if not votes:
-            return None
-        top = sorted(((-sum(v), entry) for entry, v in votes.items()))
-        return (1, int(100 + 10 * top[0][0]), 3, top[0][1])
+            return hits[0], ()
+        told = []
+        for i, w in enumerate(text.split()):
+            if len(w) > 2 and w not in COMMON and (got := self.words.search(w, allowed(len(w)) if len(w) > 5 else 0)):
+                told.append((f"{i} {w}", *got[0]))
+        return None, tuple(told)
+
+    def find(self, value: str) -> int:
+        """The id of the entry, 0 if none: the nearest whole form, else the entry that most words vote for."""
+        whole, words = self.parts(value)
+        return whole[2] if whole else elect(words)
+
+
+def elect(words: tuple[tuple[str, int, int, int], ...]) -> int:
+    votes: dict[int, float] = {}
+    for _, d, rank, entry in words:
+        votes[entry] = votes.get(entry, 0.0) + 3.0 - d - 0.5 * rank
+    return min(votes, key=lambda e: (-votes[e], e)) if votes else 0
 
 
 def match_canonical(
@@ -237,50 +245,77 @@ def match_canonical(
     id; repeated rows stay; an empty list makes every answer 0.  Names of columns
     that clash with the output are refused.
 
-    At most ``shard_size`` entries sit in one tree; longer lists are cut by id and
-    each distinct item is asked in every shard, so no executor holds the whole list.
+    At most ``shard_size`` entries sit in one tree.  Longer lists are cut by id; each distinct item
+    asks every shard in turn, and the winners merge: the nearest whole form of all shards, else for
+    each word the nearest word of all shards.  Which words point at one entry only is found over the
+    whole list, so the answers do not depend on the cut.
     """
     if "value_id" in items.columns:
         raise ValueError("items already has a column value_id")
     names = names if names is not None else {"minority_type": OWNERSHIP_NAMES, "industry": INDUSTRY_NAMES}
+    listed = entries.select("field_name", F.col("value_id").cast("long").alias("value_id"), "label", "about").where("value_id is not null")
     shards = max(1, -(-entries.count() // shard_size))
     if shards == 1:
-        rows = [(r.field_name, r.value_id, r.label, r.about) for r in entries.select("field_name", "value_id", "label", "about").collect()]
-        found = _search(items.withColumn("_shard", F.lit(0)), {0: rows}, names)
-        return found.select(*items.columns, F.coalesce(F.element_at("_hit", 4), F.lit(0)).cast("long").alias("value_id"))
-    # one shard of entries at a time reaches a task: co-grouped by shard, distinct items only
-    asked = items.select("field_name", "item").distinct().withColumn("_shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-    cut = entries.select("field_name", "value_id", "label", "about", F.pmod(F.xxhash64("value_id"), F.lit(shards)).cast("int").alias("_shard"))
-
-    def each(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        out = left[["field_name", "item"]].copy()
-        trees = {f: Matcher([(int(v), lab, ab) for v, lab, ab in zip(g.value_id, g.label, g.about)], names.get(f, {})) for f, g in right.groupby("field_name")}
-        hits = [trees[f].find(i) if f in trees and i else None for f, i in zip(out.field_name, out.item)]
-        out["_hit"] = [list(h) if h else None for h in hits]
-        return out
-
-    won = (
-        asked.groupBy("_shard").cogroup(cut.groupBy("_shard"))
-        .applyInPandas(each, "field_name string, item string, _hit array<long>")
-        .groupBy("field_name", "item").agg(F.min("_hit").alias("_hit"))
-    )
+        rows = [tuple(r) for r in listed.collect()]
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            trees = _matchers(rows, names, None)
+            for pdf in batches:
+                yield pdf.assign(value_id=[trees[f].find(i) if f in trees and i else 0 for f, i in zip(pdf["field_name"], pdf["item"])])
+
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in items.schema)
+        return items.mapInPandas(run, f"{cols}, value_id long")
+    owned = _owned_words(listed, names)
+    asked = spread(items.where("item is not null").select("field_name", "item").distinct())
+    cut_by = F.pmod(F.xxhash64("value_id"), F.lit(shards))
+    found = None
+    for n in range(shards):  # one shard at a time is known to the workers: at most some ``shard_size`` entries and their words
+        part = [tuple(r) for r in listed.where(cut_by == n).collect()]
+        words = [tuple(r) for r in owned.where(cut_by == n).collect()]
+        one = asked.mapInPandas(_asking(part, words, names), "field_name string, item string, w string, d int, rank int, value_id long")
+        found = one if found is None else found.unionByName(one)
+    nearest = cut(found.groupBy("field_name", "item", "w").agg(F.min(F.struct("d", "rank", "value_id")).alias("m")), "nearest")
+    whole = nearest.where("w = ''").select("field_name", "item", F.col("m.value_id").alias("_whole"))
+    votes = nearest.where("w <> ''").groupBy("field_name", "item", "m.value_id").agg(F.sum(3.0 - F.col("m.d") - 0.5 * F.col("m.rank")).alias("v"))
+    most = votes.groupBy("field_name", "item").agg(F.min(F.struct((-F.col("v")).alias("v"), "value_id"))["value_id"].alias("_vote"))
+    won = whole.join(most, ["field_name", "item"], "full")
     out = items.alias("i").join(won.alias("w"), (F.col("i.field_name").eqNullSafe(F.col("w.field_name"))) & (F.col("i.item").eqNullSafe(F.col("w.item"))), "left")
-    return out.select("i.*", F.coalesce(F.element_at("w._hit", 4), F.lit(0)).cast("long").alias("value_id"))
+    return out.select("i.*", F.coalesce("w._whole", "w._vote", F.lit(0)).cast("long").alias("value_id"))
 
 
-def _search(items: DataFrame, rows: dict[int, list], names: dict[str, dict[str, str]]) -> DataFrame:
+def _matchers(rows: list[tuple], names: dict[str, dict[str, str]], words: list[tuple] | None) -> dict[str, Matcher]:
     by_field: dict[str, list[tuple[int, str, str]]] = {}
-    for field, value_id, label, about in rows[0]:
+    for field, value_id, label, about in rows:
         by_field.setdefault(field, []).append((value_id, label, about))
+    own = {f: [(w, rank, v) for field, v, w, rank in words if field == f] if words is not None else None for f in by_field}
+    return {f: Matcher(e, names.get(f, {}), own[f]) for f, e in by_field.items()}
+
+
+def _owned_words(listed: DataFrame, names: dict[str, dict[str, str]]) -> DataFrame:
+    """``field_name``, ``value_id``, ``w``, ``rank``: the words that point at one entry of the whole list only."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        trees = {f: Matcher(e, names.get(f, {})) for f, e in by_field.items()}
         for pdf in batches:
-            hits = [trees[f].find(i) if f in trees and i else None for f, i in zip(pdf["field_name"], pdf["item"])]
-            yield pdf.drop(columns="_shard").assign(_hit=[list(h) if h else None for h in hits])
+            rows = [(f, v, w, r) for f, v, label, about in zip(pdf["field_name"], pdf["value_id"], pdf["label"], pdf["about"]) for w, r, _ in word_forms([(v, label, about)], names.get(f, {}))]
+            yield pd.DataFrame(rows, columns=["field_name", "value_id", "w", "rank"])
+
+    each = listed.mapInPandas(run, "field_name string, value_id long, w string, rank int")
+    once = each.groupBy("field_name", "w").agg(F.min("value_id").alias("value_id"), F.max("value_id").alias("other"), F.min("rank").alias("rank"))
+    return cut(once.where("value_id = other").select("field_name", "value_id", "w", "rank"), "words")
+
 
-    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in items.schema if f.name != "_shard")
-    return items.mapInPandas(run, f"{cols}, _hit array<long>")
+def _asking(rows: list[tuple], words: list[tuple], names: dict[str, dict[str, str]]):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        trees = _matchers(rows, names, words)
+        for pdf in batches:
+            out = []
+            for f, i in zip(pdf["field_name"], pdf["item"]):
+                if f in trees and i:
+                    whole, told = trees[f].parts(i)
+                    out += [(f, i, "", *whole)] if whole else [(f, i, *t) for t in told]
+            yield pd.DataFrame(out, columns=["field_name", "item", "w", "d", "rank", "value_id"])
+
+    return run
 
 
 def not_exact(matched: DataFrame, entries: DataFrame) -> DataFrame:

@@ -43,6 +43,18 @@ def test_match_canonical(spark, shard):
     assert "Black-Owned" not in {r.item for r in canonical.not_exact(got, entries).where("field_name = 'minority_type'").collect()}
 
 
+def test_the_cut_of_a_list_changes_nothing(spark):
+    """Words shared by entries of different shards point at none; a word near entries of several shards votes for the nearest."""
+    rows = [(1, "industry", "Harbor Dredging", "boats, gravel"), (2, "industry", "Harbor Lighting", "lamps, boats"), (3, "industry", "Garden Lightening", "lawns"), (4, "industry", "Gravel Haulage", "trucks")]
+    entries = spark.createDataFrame(rows, "value_id long, field_name string, label string, about string")
+    asked = ["harbor", "boats for hire", "gravel pit lawns", "lightning rods", "lightening things", "haulages of lamps", "trucks dredgin", "Harbor Lightning", "garden haulage", "none of it"]
+    items = spark.createDataFrame([("industry", a) for a in asked], "field_name string, item string")
+    want = {(r.item, r.value_id) for r in canonical.match_canonical(items, entries, {}).collect()}
+    assert {v for _, v in want} == {0, 2, 3, 4}
+    for size in (1, 2, 3):
+        assert {(r.item, r.value_id) for r in canonical.match_canonical(items, entries, {}, shard_size=size).collect()} == want
+
+
 TEXTS = ["Hello, world! It's 2024.", "", None, "   ", "<|endoftext|> is text", "naïve café 日本語 \U0001f600", "a" * 20_000, "x\n\n\n y\t z", "ÿ\x00", "don't DON'T"]
 
 
