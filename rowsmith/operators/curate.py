@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.geo import clean_address, detect_state, verdict, with_state
@@ -69,8 +69,8 @@ def grow_denylist(denied: DataFrame, dropped: DataFrame, automatic: list[str]) -
     manual = dropped.where(~F.col("reason").isin(automatic)).select("business_name", "website", F.lit(1).alias("_g"), F.col("row_id").alias("_o"))
     old = denied.select("business_name", "website", F.lit(0).alias("_g"), F.col("row_id").alias("_o"))
     key = F.concat_ws("|", norm_name("business_name"), site("website"))
-    w = Window.partitionBy("_k").orderBy("_g", "_o")
-    return old.unionByName(manual).withColumn("_k", key).withColumn("_n", F.row_number().over(w)).where("_n = 1").select("business_name", "website")
+    first = F.min(F.struct("_g", "_o", "business_name", "website")).alias("f")
+    return old.unionByName(manual).groupBy(key.alias("_k")).agg(first).select("f.business_name", "f.website")
 
 
 def intake_gate(rows: DataFrame, known: DataFrame, chains: list[str] = CHAINS) -> DataFrame:
@@ -79,14 +79,14 @@ def intake_gate(rows: DataFrame, known: DataFrame, chains: list[str] = CHAINS) -
     ``rows`` carry a total order in ``row_id``; the first row of a key is the one that isn't "seen".
     """
     out = rows.withColumn("_k", row_key("business_name", "website"))
-    first = F.row_number().over(Window.partitionBy("_k").orderBy("row_id"))
-    out = with_state(seen_before(out.withColumn("_n", first), known, norm_name, "_known"))
+    first = out.groupBy("_k").agg(F.min("row_id").alias("_first"))
+    out = with_state(seen_before(out.join(first, "_k"), known, norm_name, "_known"))
     state = F.col("_place")
     why = (
-        F.when(F.trim(text("business_name")) == "", "no name").when(F.col("_n") > 1, "seen").when(contains_any(F.lower(text("business_name")), chains), "chain")
+        F.when(F.trim(text("business_name")) == "", "no name").when(F.col("row_id") > F.col("_first"), "seen").when(contains_any(F.lower(text("business_name")), chains), "chain")
         .when(state == "other-state", "other state").when(F.col("_known"), "known")
     )
-    return out.withColumn("drop_reason", why).drop("_k", "_n", "_known", "_place")
+    return out.withColumn("drop_reason", why).drop("_k", "_first", "_known", "_place")
 
 
 def clean_plan(df: DataFrame) -> DataFrame:
@@ -104,11 +104,11 @@ def purge_plan(df: DataFrame) -> DataFrame:
 
 def flags(df: DataFrame, brands: list[str] = BRANDS) -> DataFrame:
     """``row_id``, ``n_flags``, ``review_flag``: native reasons for a second look, joined by "; "."""
-    name = flag_name("business_name")
-    good = F.col("disposition") == "Good to go"
-    n = F.count_if(good).over(Window.partitionBy(name))
-    brand = first_any(name, brands)
-    df, state = with_state(df), F.col("_place")
+    df = with_state(df.withColumn("_name", flag_name("business_name")))
+    # counted with map-side combine and joined, so that a name of very many rows is in no one task
+    seen = df.where("disposition = 'Good to go'").groupBy("_name").agg(F.count("*").alias("_n"))
+    df = df.join(seen, "_name", "left").withColumn("_n", F.coalesce("_n", F.lit(0)))
+    n, brand, state = F.col("_n"), first_any(F.col("_name"), brands), F.col("_place")
     no_site = F.trim(text("website")) == ""
     each = F.array_compact(F.array(
         F.when(brand.isNotNull(), F.concat(F.lit("national brand? ("), brand, F.lit(")"))),

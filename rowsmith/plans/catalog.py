@@ -99,7 +99,7 @@ def _search(name: str, p: Search) -> None:
 
 _search("search_text", Search(text="travel"))
 _search("search_fuzzy", Search(text="Lorimfeld", limit=50))
-_search("search_facets", Search(text="services", area="Lexington", ownership="Women-Owned", industry="Legal Services"))
+_search("search_facets", Search(text="marketing", area="Lexington", ownership="Women-Owned", industry="Marketing and Communications"))
 _search("search_cert_token", Search(certification="VOSB", limit=100))
 _search("search_cert_any", Search(certification="Any", limit=100))
 _search("search_paging", Search(text="consulting", limit=10, offset=20))
@@ -254,9 +254,9 @@ def audit_dedup(spark, sf_dir):
     return read(spark, sf_dir, "sources_audit").distinct()
 
 
-@query(f"select {D.host('found_via')} as host, count(*) as n from sources_audit where found_via like 'http%' group by 1 order by n desc, host limit 12")
+@query(f"select {D.host('found_via')} as host, count(*) as n from sources_audit group by 1")
 def host_histogram(spark, sf_dir):
-    return read(spark, sf_dir, "sources_audit").where("found_via like 'http%'").groupBy(T.host("found_via").alias("host")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "host").limit(12)
+    return read(spark, sf_dir, "sources_audit").groupBy(T.host("found_via").alias("host")).agg(F.count("*").alias("n"))
 
 
 @query(
@@ -326,10 +326,9 @@ def document_text(spark, sf_dir):
     return read(spark, sf_dir, "documents").select("doc_id", page_text("text").alias("plain"))
 
 
-@query("select id, strip_accents(lower(business_name)) as folded from businesses where business_name is not null and regexp_matches(business_name, '^[\\x00-\\x7FáéíóúñÁÉÍÓÚÑ]*$')")
+@query("select id, replace(strip_accents(lower(coalesce(business_name, ''))), chr(160), ' ') as folded from businesses")
 def fold_names(spark, sf_dir):
-    b = read(spark, sf_dir, "businesses").where(r"business_name rlike '^[\\x00-\\x7FáéíóúñÁÉÍÓÚÑ]*$'")
-    return b.select("id", fold_accents("business_name").alias("folded"))
+    return read(spark, sf_dir, "businesses").select("id", fold_accents("business_name").alias("folded"))
 
 
 # --- duplicates --------------------------------------------------------------------------------
@@ -481,10 +480,10 @@ def page_records(spark, sf_dir):
     return publish.changed_pages(publish.page_records(b, publish.assign_slugs(b)), None)
 
 
-@query(f"with s as (select distinct {D.slug('business_name')} as slug from businesses) select slug, '<url><loc>https://directory.example/businesses/' || slug || '.html</loc><lastmod>{DAY}</lastmod><changefreq>monthly</changefreq><priority>0.7</priority></url>' as entry from s where slug <> ''")
+@query()
 def sitemap(spark, sf_dir):
-    s = read(spark, sf_dir, "businesses").select(T.slug("business_name").alias("slug")).distinct()
-    return publish.sitemap_entries(s, "https://directory.example", DAY)
+    """Every page is in it; slugs are handed out one after the other, which SQL cannot say (tests replay them)."""
+    return publish.sitemap_entries(publish.assign_slugs(read(spark, sf_dir, "businesses")).select("slug"), "https://directory.example", DAY)
 
 
 @query(

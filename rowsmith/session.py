@@ -40,6 +40,8 @@ def shared_dir(spark: SparkSession) -> str:
         jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
         configured = jdir.get() if jdir.isDefined() else None
     if not configured:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("a cluster must name a shared folder in spark.checkpoint.dir")
         configured = "file://" + tempfile.mkdtemp(prefix="rowsmith-")
         spark.sparkContext.setCheckpointDir(configured)
         spark.conf.set("spark.checkpoint.dir", configured)
