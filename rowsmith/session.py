@@ -8,6 +8,7 @@ that a lost executor costs only the stage that was running.
 from __future__ import annotations
 
 import atexit
+import gc
 import tempfile
 import uuid
 
@@ -73,6 +74,14 @@ def drop_cut(df: DataFrame) -> None:
             _delete(spark, name)
 
 
+def clear(*tables: DataFrame) -> None:
+    """Deletes tables returned by :func:`cut` at the end of a phase and lets Spark remove the shuffle files of the phase, which it does when the driver collects its garbage."""
+    for t in tables:
+        drop_cut(t)
+    gc.collect()
+    tables[0].sparkSession.sparkContext._jvm.System.gc()
+
+
 def slots(spark: SparkSession) -> int:
     """Partitions for stages whose work is Python, not bytes (AQE would merge them by size)."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions", "8")), spark.sparkContext.defaultParallelism)
