@@ -291,3 +291,46 @@ def test_the_filter_spares_what_the_rules_accept(spark):
     rec = records.prepare([(df, "id", {c: c for c in ("name", "phone", "website", "address")})])
     got = {r.id: r.entity for r in suffixes.link_names(rec).collect()}
     assert got[1] == got[2] == 1 and len({got[10 + i] for i in range(60)}) > 30
+
+
+def test_large_blocks_are_searched_whatever_the_order_of_words(spark):
+    """A typo in a first letter moves the word; where all the two share is common, they still meet."""
+    rows = [(1, "Zeldamont Kelmbridge Photography", None, None, "Berea"), (2, "Aeldamont Kelmbridge Photography", None, None, "Berea")]
+    rows += [(10 + i, f"{chr(97 + i % 26) * 3}{chr(97 + i // 26) * 4} Kelmbridge Photography", None, None, "Berea") for i in range(60)]
+    df = spark.createDataFrame([(*r, "x") for r in rows], COLS)
+    rec = records.prepare([(df, "id", {c: c for c in ("name", "phone", "website", "address")})])
+    for found in (suffixes.link_names(rec), collective.link_records(rec)[0]):
+        got = {r.id: r.entity for r in found.collect()}
+        assert got[1] == got[2] == 1 and 1 not in {got[10 + i] for i in range(60)}
+
+
+def test_common_suffixes_are_searched(spark):
+    """Two names that share only suffixes which many names share, of one place or none."""
+    rows = [(1, "Zantiquistolkelmbridge", None, None, None), (2, "Zantiquistolkelnbridge", None, None, "Berea")]
+    rows += [(10 + i, f"{chr(97 + i % 26) * 5}{chr(97 + i // 26) * 5}bridge", None, None, "Berea" if i % 2 else "Corbin") for i in range(60)]
+    df = spark.createDataFrame([(*r, "x") for r in rows], COLS)
+    rec = records.prepare([(df, "id", {c: c for c in ("name", "phone", "website", "address")})])
+    got = {r.id: r.entity for r in suffixes.link_names(rec).collect()}
+    assert got[1] == got[2] == 1
+
+
+def test_tiles_and_cells_lose_no_pair(spark, monkeypatch):
+    """Blocks dealt to many tiles and cells give the pairs of one."""
+    from rowsmith.operators import alike as near
+
+    rng = random.Random(4)
+    rows = [(i, "".join(rng.choice("abcdefg") for _ in range(rng.randint(4, 9))), rng.choice((2, 3))) for i in range(120)]
+    df = spark.createDataFrame(rows, "id long, t string, role int").select(F.lit(1).alias("g"), "id", near.letter_masks(F.col("t")).alias("m"), F.length("t").alias("n"), "role", F.array((F.col("id") % 3).cast("long"), F.lit(0).cast("long")).alias("f"))
+    apart = lambda x, y: sum(abs(min(x.count(c), 3) - min(y.count(c), 3)) for c in "abcdefg")
+    want = {(i, j) for i, x, r in rows for j, y, q in rows if i < j and 3 in (r, q) and (i % 3 * (j % 3) == 0 or i % 3 == j % 3) and apart(x, y) <= 0.2 * (len(x) + len(y)) + 1e-4}
+    for cell in (4_000, 17):
+        monkeypatch.setattr(near, "CELL", cell)
+        got = [(r.a, r.b) for r in near.near_letters(df, 0.2).collect()]
+        assert len(got) == len(set(got)) and set(got) == want and len(want) > 50
+    rows = [(i, f"Zelda Kelmbridge {chr(97 + i % 26)}{chr(97 + i // 26)}", "(270) 111-2222", None, f"{i} Elm St, Berea") for i in range(70)]
+    rec = records.prepare([(spark.createDataFrame([(*r, "x") for r in rows], COLS), "id", {c: c for c in ("name", "phone", "website", "address")})])
+    blocks = rec.select(F.lit(1).cast("long").alias("k"), F.lit(suffixes.SEVEN).alias("bit"), F.col("id").alias("rep"))
+    for tile in (2_000, 9):
+        monkeypatch.setattr(suffixes, "TILE", tile)
+        got = [(r.a, r.b) for r in suffixes.crowded(blocks, rec, []).collect()]
+        assert len(got) == len(set(got)) == 70 * 69 // 2
