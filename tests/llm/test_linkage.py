@@ -334,3 +334,23 @@ def test_tiles_and_cells_lose_no_pair(spark, monkeypatch):
         monkeypatch.setattr(suffixes, "TILE", tile)
         got = [(r.a, r.b) for r in suffixes.crowded(blocks, rec, []).collect()]
         assert len(got) == len(set(got)) == 70 * 69 // 2
+
+
+def test_the_size_of_a_block_changes_no_edge(spark, monkeypatch):
+    """The candidate graph is that of all pairs which share an attribute and fit, however many records share it."""
+    rows = [(i, f"Zelda Kelmbridge {chr(97 + i % 26)}{chr(97 + i // 26) * 5}", f"(270) 111-22{i % 9:02d}", None, f"{i % 4 + 1} Elm St, Berea") for i in range(60)]
+    rows += [(100 + i, f"{chr(97 + i) * 6} Photography Kelmbridge", None, None, f"7 {s}, Berea") for i, s in enumerate(("Martin Luther King Junior Boulevard", "Martin Luther King Boulevard", "Elm St", "Elm St") * 3)]
+    rec = records.prepare([(spark.createDataFrame([(*r, "x") for r in rows], COLS), "id", {c: c for c in ("name", "phone", "website", "address")})])
+    reps = rec.where("core <> ''")
+    got = []
+    for block in (2, 1_000_000):
+        monkeypatch.setattr(collective, "BLOCK", block)
+        got.append({(r.a, r.b, r.bits) for r in collective.candidate_graph(reps, {}).select("a", "b", "bits").collect()})
+    assert got[0] == got[1]
+    share = collective.attributes(reps, []).distinct()
+    pairs = share.join(share.select("k", F.col("rep").alias("other")), "k").where("rep < other").select(F.col("rep").alias("a"), F.col("other").alias("b"), F.col("bit").alias("bits"))
+    want = {(r.a, r.b) for r in suffixes.plausible(pairs, reps, [], contained=True).union(suffixes.heads(reps)).collect()}
+    # no pair that is a match by itself is lost
+    every = pairs.groupBy("a", "b").agg(F.bit_or("bits").alias("bits"))
+    assert want >= {(r.a, r.b) for r in collective.score(every, reps, {}).where("o >= 0").collect()}
+    assert {(a, b) for a, b, _ in got[0]} == want and (100, 101) in want and len(want) < pairs.select("a", "b").distinct().count()
