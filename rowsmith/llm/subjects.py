@@ -214,7 +214,7 @@ def vocabularies(parsed: DataFrame) -> dict[str, list[str]]:
         rows = found.where((F.col("l") == lang) & F.col("n").between(least, most) & (F.length("w") >= 3))
         if (many := rows.count()) > TERMS:
             raise ValueError(f"{many} terms of language {lang}; at most {TERMS} fit a worker")
-        out[lang] = [r.w for r in rows.orderBy(F.desc("n"), "w").collect()]
+        out[lang] = rows.orderBy(F.desc("n"), "w").select("w").toArrow()["w"].to_pylist()
     return out
 
 
@@ -314,19 +314,23 @@ def fit(rows: DataFrame, vocabs: dict[str, list[str]], subjects: list[str], abou
         parts = some.where(F.col("l").isin(*current)).select("l", "t", "n", "y").mapInPandas(run, "l string, c int, num array<double>, tot double")
         # one row per component and task; summed by position before anything reaches the driver
         spread = parts.select("l", "c", "tot", F.posexplode("num").alias("p", "x")).where("x > 0 or p = 0")
-        total = spread.groupBy("l", "c", "p").agg(F.sum("x").alias("x"), F.sum(F.when(F.col("p") == 0, F.col("tot")).otherwise(0.0)).alias("tot")).toPandas()
+        total = spread.groupBy("l", "c", "p").agg(F.sum("x").alias("x"), F.sum(F.when(F.col("p") == 0, F.col("tot")).otherwise(0.0)).alias("tot")).toArrow()  # as arrays: rows of objects would take the driver's memory
         shared.destroy()
         out = {lang: (np.zeros_like(h), np.zeros(h.shape[0])) for lang, h in current.items()}
-        for lang, own in total.groupby("l"):
-            num, tot = out[lang]
-            num[own["c"].to_numpy(), own["p"].to_numpy()] = own["x"].to_numpy()
-            np.add.at(tot, own["c"].to_numpy(), own["tot"].to_numpy())
+        said = total["l"].to_numpy()
+        c, p, x, mass = (total[n].to_numpy() for n in ("c", "p", "x", "tot"))
+        for lang, (num, tot) in out.items():
+            own = said == lang
+            num[c[own], p[own]] = x[own]
+            np.add.at(tot, c[own], mass[own])
         return out
 
     factors = {lang: f for lang, f in factors.items() if f.shape[1]}
     average = {lang: np.zeros(f.shape[1]) for lang, f in factors.items()}
-    for r in rows.select("l", F.explode(F.arrays_zip("t", "n")).alias("x")).groupBy("l", "x.t").agg(F.sum("x.n").alias("n")).collect():  # TERMS rows a language at most
-        average[r.l][r.t] = r.n
+    sizes = rows.select("l", F.explode(F.arrays_zip("t", "n")).alias("x")).groupBy("l", "x.t").agg(F.sum("x.n").alias("n")).toArrow()  # TERMS rows a language at most
+    for lang, whole in average.items():
+        own = sizes["l"].to_numpy() == lang
+        whole[sizes["t"].to_numpy()[own]] = sizes["n"].to_numpy()[own]
     # the labelled rows alone seed the anchored components
     labelled = rows.where("size(y) > 0").orderBy(F.xxhash64("k")).limit(LABELS)
     for _ in range(2):

@@ -53,3 +53,17 @@ def test_mend_and_split():
     assert subjects.sentences("One two. (An aside here.) One two.\nThree <b>four</b> five") == [["one", "two"], ["three"], ["four"], ["five"]]
     assert subjects.sentences(None) == []
     assert subjects.language_of(subjects.sentences("La gente recuerda los planos de obra y el andamio.")) == "es"
+
+
+def test_sums_reach_the_driver_as_arrays(spark, monkeypatch):
+    """Rows of Python objects for every term and component would take the driver's memory."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    def refuse(*_):
+        raise AssertionError("rows of objects")
+
+    rows = spark.createDataFrame([(1, "en", [0, 1], [1.0, 1.0], [0]), (2, "en", [1, 2], [1.0, 2.0], None)], subjects._row("long"))
+    for name in ("toPandas", "collect"):
+        monkeypatch.setattr(DataFrame, name, refuse)
+    got = subjects.fit(rows, {"en": ["aaaa", "bbbb", "cccc"]}, ["s"], {})
+    assert got["en"].shape == (2, 3) and abs(got["en"].sum() - 1) < 1e-6
