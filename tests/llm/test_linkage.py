@@ -354,3 +354,42 @@ def test_the_size_of_a_block_changes_no_edge(spark, monkeypatch):
     every = pairs.groupBy("a", "b").agg(F.bit_or("bits").alias("bits"))
     assert want >= {(r.a, r.b) for r in collective.score(every, reps, {}).where("o >= 0").collect()}
     assert {(a, b) for a, b, _ in got[0]} == want and (100, 101) in want and len(want) < pairs.select("a", "b").distinct().count()
+
+
+def test_names_compared_at_once_as_one_by_one():
+    """Shares and ratios of whole batches are those of single pairs to the last bit, for odd names too."""
+    from rowsmith.llm import matching
+
+    rng = random.Random(2)
+    word = lambda: "".join(rng.choice("abcd") for _ in range(rng.randint(1, 7)))
+    a = ["", "a", "x" * 70, "é ü", "mc donald", "a b c d e f g h i j", "x" * 40 + " " + "y" * 24, "ab"] + [" ".join(word() for _ in range(rng.randint(0, 5))) for _ in range(4_000)]
+    b = ["", "ab", "x" * 69 + "y", "e ü", "mcdonald", "a c b d e f g i", "y" * 24 + " " + "x" * 39, "ab"] + [" ".join(word() for _ in range(rng.randint(0, 5))) for _ in range(4_000)]
+    weight = lambda w: {0: 0.3, 1: 0.6}.get(len(w) % 4, 1.0)
+    share, lcs = matching.name_matches(a, b, weight)
+    assert list(zip(share, lcs)) == [names.name_match(tuple(x.split()), tuple(y.split()), weight) for x, y in zip(a, b)]
+    assert list(matching.ratios(a, b)) == [names.ratio(x, y) for x, y in zip(a, b)]
+    assert [len(x) for x in matching.name_matches([], [], weight)] == [0, 0] and len(matching.ratios([], [])) == 0
+
+
+def test_cells_are_the_filter(spark, monkeypatch):
+    """Cells that run over many batches, dealt to tiles or not, give the pairs that the filter keeps one by one."""
+    rng = random.Random(5)
+    pick = lambda *x: rng.choice(x)
+    rows = [
+        (i, f"{pick('Zelda', 'Zelma', 'Quorimsby')} {pick('Kelmbridge', 'Kelnbridge', 'Vandholt', 'Hyltmere Brook')} {pick('Photography', 'Photos', 'Roofing', '')}",
+         pick("(270) 111-2222", "(270) 111-2223", "111-2222", None), pick("kelm.com", "vand.org", None, None), f"{pick(1, 2)} {pick('Elm St', 'Elms St', 'Martin Luther King Boulevard', 'Oak Ridge Rd')}, {pick('Berea', 'Corbin')}")
+        for i in range(150)
+    ]
+    rec = records.prepare([(spark.createDataFrame([(*r, "x") for r in rows], COLS), "id", {c: c for c in ("name", "phone", "website", "address")})])
+    index = collective.attributes(rec, []).distinct().localCheckpoint()
+    pairs = index.join(index.select("k", F.col("rep").alias("other")), "k").where("rep < other").select(F.col("rep").alias("a"), F.col("other").alias("b"), F.col("bit").alias("bits"))
+    want = sorted((r.a, r.b, r.bits) for r in suffixes.plausible(pairs, rec, [], contained=True).collect())
+    monkeypatch.setattr(suffixes, "PAIRS", 50)
+    for tile, batch in ((2_000, 10_000), (2_000, 7), (9, 7)):
+        monkeypatch.setattr(suffixes, "TILE", tile)
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch))
+        try:
+            got = sorted((r.a, r.b, r.bits) for r in suffixes.crowded(index, rec, [], contained=True).collect())
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+        assert got == want and 100 < len(want) < pairs.count()
