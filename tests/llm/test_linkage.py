@@ -220,6 +220,33 @@ def test_segments_find_every_key_in_reach(spark):
     segments.BLOCK = 60
 
 
+def test_a_batch_meets_the_stored_keys_and_itself(spark):
+    """Every two keys of a batch are compared once and told both ways, those stored too; no key meets itself."""
+    rng = random.Random(7)
+    keys = {"".join(rng.choice("abc") for _ in range(rng.randrange(6, 15))) for _ in range(60)}
+    keys |= {k[:i] + rng.choice("abc") + k[i + rng.randrange(2) :] for k in list(keys) for i in (2, 5)}
+    stored, fresh = sorted(keys)[::2], sorted(keys)[::3]  # some are both
+    table = lambda ks: segments._ids(spark.createDataFrame([("f", k) for k in ks], "form string, key string"))
+    old, new = table(stored), table(fresh)
+    index = segments.segments(old).withColumn("stored", F.lit(True)).unionByName(segments.segments(new).withColumn("stored", F.lit(False)))
+    name = {r.kid: r.key for r in old.unionAll(new).collect()}
+    want = sorted((a, b) for a in fresh for b in {*stored, *fresh} if a != b and levenshtein(a, b) <= (1 if min(len(a), len(b)) < 12 else 2))
+    for block in (60, 2):
+        segments.BLOCK = block
+        assert sorted((name[r.new], name[r.old]) for r in segments.meet(segments.probes(new), index, own=False).collect()) == want
+    segments.BLOCK = 60
+
+
+def test_backlog_is_taken_in_growing_steps(spark, data):
+    """Twelve waiting batches are three steps, which give what twelve batches give."""
+    rec = _prepared(spark, data).withColumn("batch", F.pmod("id", F.lit(12)).cast("int"))
+    index = segments.load_batches(rec, [])
+    assert index.batches == [0, 3, 11]
+    whole = segments.SegmentIndex(spark, [])
+    whole.add(rec, 1)
+    assert {(r.id, r["first"]) for r in index.firsts().collect()} == {(r.id, r["first"]) for r in whole.firsts().collect()} != set()
+
+
 def _prepared(spark, data):
     p = spark.read.parquet(f"{data}/businesses_prepared.parquet")
     return records.prepare([(p, "row_id", {"name": "business_name", "phone": "phone", "website": "website", "address": "address"})], {"batch": "batch_no"})
