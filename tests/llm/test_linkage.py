@@ -294,6 +294,14 @@ def test_small_batch_reads_and_writes_little(spark):
     assert index.stored("segments").where("batch = 2").count() <= 12 and index.stored("signs").where("batch = 2").count() <= 12 < size
 
 
+def test_each_attribute_of_a_record_counts_once(spark):
+    """Words with one ending make the same keys again; nothing has to be moved to leave those out."""
+    rows = [(1, "Quarford Ironyworks Cherryworks Berryworks", "Berea, KY"), (2, "Quarford", "Berea, KY")]
+    rec = records.prepare([(spark.createDataFrame(rows, "id long, name string, address string"), "id", {"name": "name", "address": "address"})])
+    made = [tuple(r) for r in collective.attributes(rec, []).collect()]
+    assert {r for _, _, r in made} == {1, 2} and len(made) == len(set(made))
+
+
 def test_large_blocks_lose_no_spelling(spark):
     """A phone under many spellings of one name, in rows that differ in their facts, is one class; others of that phone stay apart."""
     rng = random.Random(9)
